@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+All pipelines of this engine are batch runs per sales cycle (see README), so
+this package stays empty on purpose.
+"""
