@@ -84,6 +84,7 @@ def history_peers(sellers: DataFrame, prices: DataFrame, min_prices: DataFrame,
 
     Frequency, recency and price count every seller of the group: those who
     never bought weigh in with no order, recency 24 and the minimum price.
+    Sales outside any group of the base (no profile) form no peer row.
     """
     keys = run.peer_keys
     buyer = F.col("pure_24c") > 0
@@ -100,7 +101,7 @@ def history_peers(sellers: DataFrame, prices: DataFrame, min_prices: DataFrame,
               F.sum(F.when(priced, F.col("optimal_price"))).alias("total_price"),
               F.count_if(priced).alias("priced_buyers"))
           .where(F.col("buyers") > 0)
-          .join(sizes, keys, "left").join(min_prices, PRODUCT, "left"))
+          .join(sizes, keys).join(min_prices, PRODUCT, "left"))
     rest = F.col("group_sellers") - F.col("priced_buyers")
     known = (F.col("priced_buyers") > 0) & (F.col("group_sellers") > 0)
     return df.select(
@@ -280,7 +281,7 @@ def fill_bundle_offers(rolled: DataFrame, peers: DataFrame, run: RunParams) -> D
 
 def bundle_peer_table(products: DataFrame, offers: DataFrame, run: RunParams) -> DataFrame:
     """The peer-group table of bundles: one row per group and bundle product."""
-    return (products.join(offers, [*run.peer_keys, "offer_id"], "left")
+    return (products.join(offers, [*run.peer_keys, "offer_id"])
             .select(*run.peer_keys, *PRODUCT, "frequency_24c", "recency_24c",
                     F.col("min_price").alias("optimal_price"), "repurchase_cycle",
                     "min_sale_6c", "trigger_rate"))
