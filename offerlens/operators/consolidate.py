@@ -76,14 +76,18 @@ def gift_values(gifts: DataFrame, catalog: DataFrame, kinds: DataFrame,
 
 
 def gift_orders(sales: DataFrame, kinds: DataFrame, base: DataFrame, run: RunParams) -> DataFrame:
-    """Cycles in which a base seller received a gift (net 0, at least one unit)."""
+    """Cycles in which a base seller received a gift (net 0, at least one unit).
+
+    Lines are reduced to one row per seller on the map side before sellers are
+    matched with the base.
+    """
     ok = kinds.where(F.col("profit_kind") == VALID_PROFIT_KIND)
     return (sales.where(F.col("cycle").between(run.start, run.process_cycle)
                         & (F.col("cycle") == F.col("ref_cycle"))
                         & (F.col("net") == 0) & (F.col("units") >= 1))
             .join(ok, "offer_kind", "left_semi")
-            .join(base.select("seller_id"), "seller_id", "left_semi")
-            .groupBy("seller_id").agg(cycle_count(cycle_set("cycle", run.start)).alias("gift_cycles")))
+            .groupBy("seller_id").agg(cycle_count(cycle_set("cycle", run.start)).alias("gift_cycles"))
+            .join(base.select("seller_id"), "seller_id", "left_semi"))
 
 
 def ordered_cycles(activity: DataFrame) -> DataFrame:
@@ -109,9 +113,9 @@ def consolidate(single: DataFrame, bundle: DataFrame, values: DataFrame, gifts:
               "recency_24c", "repurchase_cycle", "repurchase_gap", "min_sale_6c", "gap",
               "sales_gap", "flag_bought", "optimal_price", "price_gap", "trigger_rate", "flag_top"]
     with_gift = gifts.select("offer_id").distinct().withColumn("_has_gift", F.lit(1))
+    per_offer = values.join(with_gift, "offer_id", "full").join(units, "offer_id", "full")
     df = (single.select(*shared).unionByName(bundle.select(*shared))
-          .join(values, "offer_id", "left").join(with_gift, "offer_id", "left")
-          .join(triggers, "seller_id", "left").join(units, "offer_id", "left"))
+          .join(per_offer, "offer_id", "left").join(triggers, "seller_id", "left"))
     gift_gap = F.coalesce(F.col("gift_gap"), F.lit(0.0))
     gift_trigger = F.when(F.col("_has_gift") == 1,
                           F.coalesce(F.sqrt("gift_rate") / 10, F.lit(0.0))).otherwise(F.lit(0.0))

@@ -22,40 +22,61 @@ def group_sizes(base: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # ---- potential sales ---------------------------------------------------------
-def potential_sales(single_sales: DataFrame, activity: DataFrame, geography: DataFrame,
-                    base: DataFrame, run: RunParams) -> DataFrame:
-    """Sales per invoice of sellers who are active at the process cycle.
+def potential_sales(single_sales: DataFrame, geography: DataFrame, run: RunParams) -> DataFrame:
+    """Sales per invoice; by region and segment the region is that of the sale's
+    territory."""
+    place = []
+    if run.peer_grouping == 1:
+        single_sales = single_sales.join(geography.select("territory", "region_id"), "territory")
+        place = ["region_id"]
+    return (single_sales.groupBy(*place, "seller_id", *PRODUCT, "cycle", "invoice")
+            .agg(F.sum("net").alias("potential")).where(F.col("potential") > 0))
 
-    Region and segment come from the sale's territory and the seller's present
-    status; the profile comes from the base.
-    """
+
+def seller_traits(activity: DataFrame, base: DataFrame, run: RunParams) -> DataFrame:
+    """Sellers active at the process cycle: web order flag and what places them
+    in a group (present segment, or profile)."""
     active = (activity.where(F.col("active_now") == 1)
               .select("seller_id", "web_recent", F.col("segment_now").alias("segment")))
-    df = single_sales.join(active, "seller_id")
     if run.peer_grouping == 1:
-        df = df.join(geography.select("territory", "region_id"), "territory")
-    else:
-        df = df.join(base.select("seller_id", "peer_profile"), "seller_id")
-    return (df.groupBy(*run.peer_keys, "seller_id", *PRODUCT, "cycle", "invoice")
-            .agg(F.sum("net").alias("potential"), F.max("web_recent").alias("web_recent"))
-            .where(F.col("potential") > 0))
+        return active
+    return (active.drop("segment")
+            .join(base.select("seller_id", "peer_profile"), "seller_id"))
+
+
+def active_potential(potential: DataFrame, traits: DataFrame, run: RunParams) -> DataFrame:
+    """Potential sales of active sellers with their group (a report)."""
+    return (potential.join(traits, "seller_id")
+            .select(*run.peer_keys, "seller_id", *PRODUCT, "cycle", "invoice", "potential",
+                    "web_recent"))
 
 
-def peer_sellers(potential: DataFrame, run: RunParams) -> DataFrame:
-    """Per seller and product, everything the group averages need, in one pass:
+def peer_sellers(potential: DataFrame, traits: DataFrame, run: RunParams) -> DataFrame:
+    """Per active seller and product, what the group averages need, in one pass:
     six-cycle minimum and order cycles, 24-cycle recency and order cycles (both
-    for sellers with a web order), and the repurchase cycle (all sellers)."""
-    web = F.col("web_recent") == 1
-    recent = web & (F.col("cycle") >= run.recent_start)
+    for sellers with a web order only), and the repurchase cycle (all sellers).
+
+    The seller's traits join after the reduction, where a seller has one row per
+    product, so no invoice or line is ever shuffled by seller alone.
+    """
+    recent = F.col("cycle") >= run.recent_start
     rows = F.count("*")
     span = (F.lit(HISTORY_CYCLES - 1) - (F.min("cycle") - F.lit(run.start))
             - (F.lit(run.process_cycle) - F.max("cycle")))
-    return (potential.groupBy(*run.peer_keys, *PRODUCT, "seller_id").agg(
+    place = ["region_id"] if run.peer_grouping == 1 else []
+    reduced = potential.groupBy(*place, "seller_id", *PRODUCT).agg(
         F.min(F.when(recent, F.col("potential"))).alias("min_sale"),
         cycle_count(cycle_set("cycle", run.start, recent)).alias("pure_6c"),
-        (F.lit(run.process_cycle) - F.max(F.when(web, F.col("cycle")))).alias("recency"),
-        cycle_count(cycle_set("cycle", run.start, web)).alias("pure_24c"),
-        F.when(rows > 1, ratio(span, rows - 1)).alias("repurchase_cycle")))
+        (F.lit(run.process_cycle) - F.max("cycle")).alias("recency"),
+        cycle_count(cycle_set("cycle", run.start)).alias("pure_24c"),
+        F.when(rows > 1, ratio(span, rows - 1)).alias("repurchase_cycle"))
+    web = F.col("web_recent") == 1
+    return reduced.join(traits, "seller_id").select(
+        *run.peer_keys, *PRODUCT, "seller_id",
+        F.when(web, F.col("min_sale")).alias("min_sale"),
+        F.when(web, F.col("pure_6c")).otherwise(0).alias("pure_6c"),
+        F.when(web, F.col("recency")).alias("recency"),
+        F.when(web, F.col("pure_24c")).otherwise(0).alias("pure_24c"), "repurchase_cycle")
 
 
 # ---- group averages, single offers -------------------------------------------
@@ -126,12 +147,13 @@ def fill_single(grid: DataFrame, history: DataFrame, recent: DataFrame,
                        F.col("frequency").alias("_freq"), F.col("recency").alias("_rec"),
                        F.col("optimal_price").alias("_price"))
     r = recent.select(*on, F.col("min_sale").alias("_min"))
+    both = h.join(r, on, "full")        # short frames, so the grid joins once
     absent = F.col("flag_bought") == 0
 
     def peer(own: str, theirs: str) -> Column:
         return F.when(absent, F.coalesce(F.col(theirs), F.col(own))).otherwise(F.col(own))
 
-    return (grid.join(h, on, "left").join(r, on, "left").withColumns({
+    return (grid.join(both, on, "left").withColumns({
         "repurchase_cycle": F.coalesce(dbl("_cycle"), F.col("repurchase_cycle")),
         "min_sale_6c": F.coalesce(F.col("_min"), F.col("min_sale_6c")),
         "frequency_24c": peer("frequency_24c", "_freq"),

@@ -256,9 +256,13 @@ def bundle_product_variables(history: DataFrame, prices: DataFrame) -> DataFrame
 
 def bundle_grid(base: DataFrame, products: DataFrame, product_variables: DataFrame,
                 offer_variables: DataFrame, min_prices: DataFrame) -> DataFrame:
-    """Every seller with every bundle product and its minimum price."""
+    """Every seller with every bundle product and its minimum price.
+
+    A bundle bought as a whole has a history row for each of its products, so
+    both kinds of variables are put together first and the grid, the larger
+    side, is joined once.
+    """
     priced = products.join(min_prices, ["offer_id", "product_id"], "left")
-    grid = (seller_offer_grid(base, priced)
-            .join(product_variables, KEYS, "left")
-            .join(offer_variables, ["seller_id", "offer_id"], "left"))
+    variables = product_variables.join(offer_variables, ["seller_id", "offer_id"], "left")
+    grid = seller_offer_grid(base, priced).join(variables, KEYS, "left")
     return _fill(grid).select(*grid_columns(base))

@@ -64,19 +64,23 @@ def valid_kinds(kinds: DataFrame) -> DataFrame:
                        & ~F.col("offer_kind").isin(*EXCLUDED_OFFER_KINDS))
 
 
-def valid_sales(sales: DataFrame, kinds: DataFrame, base: DataFrame, items: DataFrame,
-                lo: int, hi: int) -> DataFrame:
+def valid_sales(sales: DataFrame, kinds: DataFrame, lo: int, hi: int,
+                base: DataFrame | None = None, items: DataFrame | None = None) -> DataFrame:
     """Own-cycle sales of base sellers and offered items with a positive net.
 
     Everything that shrinks the fact table runs first; a line is never
-    multiplied, however many offers hold its item.
+    multiplied, however many offers hold its item.  ``base`` and ``items`` are
+    left out where the source or the next join already restricts to them.
     """
-    return (sales
+    rows = (sales
             .where(F.col("cycle").between(lo, hi) & (F.col("cycle") == F.col("ref_cycle"))
                    & (F.col("net") > 0))
-            .join(valid_kinds(kinds), "offer_kind", "left_semi")
-            .join(base.select("seller_id"), "seller_id", "left_semi")
-            .join(items.select("item_id").distinct(), "item_id", "left_semi")
+            .join(valid_kinds(kinds), "offer_kind", "left_semi"))
+    if base is not None:
+        rows = rows.join(base.select("seller_id"), "seller_id", "left_semi")
+    if items is not None:
+        rows = rows.join(items.select("item_id").distinct(), "item_id", "left_semi")
+    return (rows
             .select("cycle", "seller_id", "item_id", "offer_kind", "territory", "invoice",
                     "sales_code", "ref_cycle", "units", "net"))
 

@@ -289,7 +289,7 @@ for _suffix, _ws, _keys in (("segment", lambda c: c.e, GROUP),
         _q(f"{name}_{suffix}", spec, lambda c: build(ws(c)))
     _reg("peer_group_sizes", _keys + "group_sellers:l", lambda w: w.group_sizes)
     _reg("peer_potential_sales", _keys + SOP + "cycle:i invoice:l potential:d web_recent:i",
-         lambda w: w.potential)
+         lambda w: G.active_potential(w.potential, w.seller_traits, w.run))
     _reg("peer_sellers", _keys + SOP + "min_sale:d pure_6c:l recency:i pure_24c:l repurchase_cycle:d",
          lambda w: w.peer_sellers)
     _reg("peer_recent", _keys + "offer_id:s product_id:s buyer_min_sale:d frequency_6c:d min_sale:d",

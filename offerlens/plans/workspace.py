@@ -89,7 +89,7 @@ class Workspace:
         return sales_ops.offer_units(self.offer_products)
 
     # ---- base ----------------------------------------------------------------
-    @cached_property
+    @staged
     def recent_status(self) -> DataFrame:
         """Enough status history to find sellers of their first six cycles."""
         p = self.run.process_cycle
@@ -125,12 +125,17 @@ class Workspace:
     @cached_property
     def valid_sales(self) -> DataFrame:
         r = self.run
-        return sales_ops.valid_sales(self.tables.sales(r.start, r.process_cycle), self.kinds,
-                                     self.base_all, self.items, r.start, r.process_cycle)
+        return sales_ops.valid_sales(
+            self.tables.sales(r.start, r.process_cycle, only=self.base_all), self.kinds,
+            r.start, r.process_cycle, items=self.items)
 
     @staged
     def tagged_sales(self) -> DataFrame:
-        return sales_ops.tag_with_offers(self.valid_sales, self.items)
+        r = self.run
+        lines = sales_ops.valid_sales(
+            self.tables.sales(r.start, r.process_cycle, only=self.base_all), self.kinds,
+            r.start, r.process_cycle)
+        return sales_ops.tag_with_offers(lines, self.items)
 
     @cached_property
     def single_sales(self) -> DataFrame:
@@ -250,12 +255,15 @@ class Workspace:
 
     @cached_property
     def potential(self) -> DataFrame:
-        return peers.potential_sales(self.single_sales, self.activity, self.tables.geography(),
-                                     self.base_with_profile, self.run)
+        return peers.potential_sales(self.single_sales, self.tables.geography(), self.run)
+
+    @cached_property
+    def seller_traits(self) -> DataFrame:
+        return peers.seller_traits(self.activity, self.base_with_profile, self.run)
 
     @staged
     def peer_sellers(self) -> DataFrame:
-        return peers.peer_sellers(self.potential, self.run)
+        return peers.peer_sellers(self.potential, self.seller_traits, self.run)
 
     @cached_property
     def recent_peers(self) -> DataFrame:
@@ -311,7 +319,8 @@ class Workspace:
 
     @cached_property
     def gift_values(self) -> DataFrame:
-        return consolidate.gift_values(self.gift_items, self.tables.catalog(), self.kinds,
+        return consolidate.gift_values(self.gift_items,
+                                       self.tables.catalog(only=self.gift_items), self.kinds,
                                        self.units)
 
     @cached_property

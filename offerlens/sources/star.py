@@ -36,14 +36,19 @@ class StarTables:
         return (o.where(in_cycles(F.col("o_orderdate"), lo, hi, date_type))
                 .withColumn("cycle", cycle_of_date("o_orderdate")))
 
-    def sales(self, lo: int | None = None, hi: int | None = None) -> DataFrame:
-        """One row per sold line.
+    def sales(self, lo: int | None = None, hi: int | None = None,
+              only: DataFrame | None = None) -> DataFrame:
+        """One row per sold line, of some sellers when ``only`` is given.
 
-        The seller's territory joins at order level, before the lines: those
-        rows are fewer and narrower, which also keeps a very large seller cheap.
+        Everything about the seller is settled at order level, before the lines
+        join: those rows are fewer and narrower, and lines are then shuffled by
+        order and by item, never by a seller who may hold a third of them.
         """
-        heads = (self.orders(lo, hi)
-                 .select("o_orderkey", F.col("o_custkey").alias("seller_id"), "cycle")
+        heads = self.orders(lo, hi).select("o_orderkey", F.col("o_custkey").alias("seller_id"),
+                                           "cycle")
+        if only is not None:
+            heads = heads.join(only.select("seller_id"), "seller_id", "left_semi")
+        heads = (heads
                  .join(self.raw("customer").select(F.col("c_custkey").alias("seller_id"),
                                                    F.col("c_nationkey").alias("territory")),
                        "seller_id"))
@@ -64,12 +69,16 @@ class StarTables:
                         F.when(F.col("l_discount") == 0.1, F.lit(0).cast(MONEY))
                         .otherwise(F.col("l_extendedprice").cast(MONEY)).alias("net")))
 
-    def catalog(self, lo: int | None = None, hi: int | None = None) -> DataFrame:
-        """Price list: item, cycle, offer kind and sales code with its price."""
+    def catalog(self, lo: int | None = None, hi: int | None = None,
+                only: DataFrame | None = None) -> DataFrame:
+        """Price list: item, cycle, offer kind and sales code with its price, of
+        some items when ``only`` is given."""
         lines = self.raw("lineitem").select(
             F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("item_id"),
             F.col("l_returnflag").alias("offer_kind"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"))
+        if only is not None:
+            lines = lines.join(only.select("item_id").distinct(), "item_id", "left_semi")
         prices = (lines.join(self.orders(lo, hi).select("o_orderkey", "cycle"), "o_orderkey")
                   .groupBy("cycle", "item_id", "offer_kind")
                   .agg(F.min("unit_price").alias("unit_price")))
