@@ -22,7 +22,11 @@ from offerlens.operators import (base as B, consolidate as C, daily as D, gap_en
                                  selection as L, validation as V)
 from offerlens.params import (BUNDLE, DAILY_OFFER, ESTIMATION, NEW, SINGLE, RunParams)
 from offerlens.plans.workspace import HISTORY_FRAMES, PEER_FRAMES, Workspace
+from offerlens.sources.repository import Repository
+from offerlens.sources.staging import new_stage_path
 from offerlens.sources.star import StarTables
+from offerlens.sources.warehouse import (OFFER_FILE_NAMES, PARAMETER_FILES, ParameterFiles,
+                                         source_table)
 
 ESTABLISHED_RUN = RunParams(process_cycle=36027, target_cycle=36028)
 NEW_RUN = RunParams(process_cycle=35939, target_cycle=35940, kind=NEW,
@@ -413,6 +417,74 @@ _q("daily_interface_new_configured", INTERFACE, lambda c: _interface(c.n, True))
 _q("daily_interface_new", INTERFACE, lambda c: _interface(c.n, None))
 
 
+# ---- stored tables -------------------------------------------------------------
+def _store(c: Context):
+    """A repository whose tables live under a new stage folder."""
+    folder = new_stage_path(c.spark, "tables")
+    return Repository(c.spark, "default", folder), f"offerlens_{folder.rsplit('-', 1)[1]}"
+
+
+def _cycle_totals(c: Context) -> DataFrame:
+    return (c.t.sales(36010, 36027).groupBy("cycle", "seller_id")
+            .agg(F.sum("net").alias("net")))
+
+
+def _parameter_csv(c: Context) -> DataFrame:
+    """Offer parameters through a header CSV and back, typed, one country."""
+    folder = new_stage_path(c.spark, "csv")
+    names = {v: k for k, v in OFFER_FILE_NAMES.items()}
+    file, schema = PARAMETER_FILES["offers"]
+    rows = c.t.offer_parameters()
+    order = [f.split()[0] for f in schema.split(", ")]
+    (rows.withColumnsRenamed({k: v for k, v in names.items() if k in rows.columns})
+     .select(*order).write.option("header", True).csv(f"{folder}/{file}"))
+    return ParameterFiles(c.spark, folder, "C1").get("offers")
+
+
+def _full_overwrite(c: Context) -> DataFrame:
+    repo, table = _store(c)
+    repo.save(c.t.sellers(), table)
+    return repo.save(c.t.sellers().where(F.col("enrol_cycle") > NEW_RUN.process_cycle), table)
+
+
+def _partition_overwrite(c: Context) -> DataFrame:
+    """Store all cycles, then only the last one again with doubled sales."""
+    repo, table = _store(c)
+    totals = _cycle_totals(c)
+    repo.save(totals, table, ["cycle"])
+    last = totals.where(F.col("cycle") == 36027).withColumn(
+        "net", (F.col("net") * 2).cast(totals.schema["net"].dataType))
+    return repo.save(last, table, ["cycle"])
+
+
+def _self_overwrite(c: Context) -> DataFrame:
+    """Double every partition of a table from the table itself."""
+    repo, table = _store(c)
+    stored = repo.save(_cycle_totals(c), table, ["cycle"])
+    doubled = stored.withColumn("net", (F.col("net") * 2).cast(stored.schema["net"].dataType))
+    repo.save(doubled, table, ["cycle"], overwrite_self=True)
+    return repo.save(doubled, table, skip=True)
+
+
+def _source_table(c: Context) -> DataFrame:
+    """A catalog table under its warehouse names, one country, renamed."""
+    view = "DWH_DEBELISTA"
+    (c.t.sellers().select(F.when(F.col("seller_id") % 3 == 0, "C2").otherwise("C1").alias("CODPAIS"),
+                          F.col("seller_id").alias("CODEBELISTA"),
+                          cyc.format_cycle("enrol_cycle").alias("AnioCampanaIngreso"))
+     .createOrReplaceTempView(view))
+    return source_table(c.spark, "", view, "C1")
+
+
+PARAMETERS = ("country:s process_cycle:s target_cycle:s kind:s personalisation:s profile:s " + OFFER
+              + " slots:i top_slots:i")
+_q("io_parameter_csv", PARAMETERS, _parameter_csv)
+_q("io_source_table", "seller_id:l enrol_cycle:i", _source_table)
+_q("io_full_overwrite", "seller_id:l enrol_cycle:i", _full_overwrite)
+_q("io_partition_overwrite", "seller_id:l cycle:i net:d", _partition_overwrite)
+_q("io_self_overwrite", "seller_id:l cycle:i net:d", _self_overwrite)
+
+
 # ---- contexts ------------------------------------------------------------------
 _CONTEXTS: dict[tuple, Context] = {}
 

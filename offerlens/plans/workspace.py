@@ -47,6 +47,11 @@ class Workspace:
             other.__dict__[name] = getattr(self, name)
         return other
 
+    def provide(self, **frames: DataFrame) -> "Workspace":
+        """Use stored tables for some frames instead of building them."""
+        self.__dict__.update(frames)
+        return self
+
     # ---- parameters ----------------------------------------------------------
     @staged
     def parameter_rows(self) -> DataFrame:

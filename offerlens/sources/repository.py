@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,19 @@ LOG_SCHEMA = ("country string, process_cycle string, target_cycle string, kind s
               "run_id string, message string, logged_at timestamp, status boolean")
 
 
+@contextmanager
+def _dynamic_partitions(spark: SparkSession):
+    """Replace only the partitions that are written (a session setting: inserts
+    into catalog tables take it from nowhere else)."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Repository:
     """Named result tables in one catalog schema.
 
@@ -62,8 +76,8 @@ class Repository:
         # REBALANCE lets AQE split a partition value that is far larger than others
         spread = ordered.hint("rebalance", *keys)
         if self.spark.catalog.tableExists(full):
-            (spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .insertInto(full))
+            with _dynamic_partitions(self.spark):
+                spread.write.mode("overwrite").insertInto(full)
             self.spark.catalog.refreshTable(full)
         else:
             self._writer(spread, table, "errorifexists").partitionBy(*keys).saveAsTable(full)

@@ -787,6 +787,15 @@ FINAL["daily_interface_new_configured"] = _interface(_ROWS_N, "q_coded_n", "N",
 FINAL["daily_interface_new"] = _interface(_ROWS_N, "q_coded_n", "N", "199613", False)
 
 
+# ---- stored tables -------------------------------------------------------------
+CTES["q_cycle_totals"] = "SELECT cycle, seller_id, sum(net) AS net FROM v_sales WHERE cycle BETWEEN 36010 AND 36027 GROUP BY 1, 2"
+FINAL["io_parameter_csv"] = "SELECT * FROM v_parameters"
+FINAL["io_source_table"] = "SELECT * FROM v_seller WHERE seller_id % 3 <> 0"
+FINAL["io_full_overwrite"] = f"SELECT * FROM v_seller WHERE enrol_cycle > {PN}"
+FINAL["io_partition_overwrite"] = f"SELECT seller_id, cycle, CASE WHEN cycle = {P} THEN 2 * net ELSE net END AS net FROM q_cycle_totals"
+FINAL["io_self_overwrite"] = "SELECT seller_id, cycle, 2 * net AS net FROM q_cycle_totals"
+
+
 # ---- composition ---------------------------------------------------------------
 _NAME = re.compile(r"\b[qv]_\w+\b")
 
