@@ -27,11 +27,11 @@ def staged(fn):
 
 
 # Frames that depend neither on the peer grouping nor on the rule set
-HISTORY_FRAMES = ("products", "kinds", "base_all", "base", "base_with_profile", "activity",
+HISTORY_FRAMES = ("products", "kinds", "items", "single_products", "bundle_products", "base_all", "base", "base_with_profile", "activity",
                   "tagged_sales", "catalog", "cycle_sales", "single_prices", "single_grid",
                   "bundle_prices", "bundle_grid")
 # Frames of one peer grouping, shared by the showroom and the daily rule set
-PEER_FRAMES = ("offers", "gifts", "items", "offer_products", "peer_sellers", "single_filled",
+PEER_FRAMES = ("offers", "gifts", "offer_products", "peer_sellers", "single_filled",
                "bundle_rolled")
 
 
@@ -75,7 +75,7 @@ class Workspace:
     def kinds(self) -> DataFrame:
         return self.tables.offer_kinds()
 
-    @cached_property
+    @staged
     def items(self) -> DataFrame:
         return sales_ops.offer_items(self.offers, self.products)
 
@@ -163,7 +163,7 @@ class Workspace:
         return rfm.product_history(self.cycle_sales, self.run)
 
     # ---- single offers -------------------------------------------------------
-    @cached_property
+    @staged
     def single_products(self) -> DataFrame:
         return rfm.grid_products(self.items, SINGLE)
 
@@ -204,7 +204,7 @@ class Workspace:
         return rfm.single_grid(self.base_with_profile, self.single_products, self.single_variables)
 
     # ---- bundles -------------------------------------------------------------
-    @cached_property
+    @staged
     def bundle_products(self) -> DataFrame:
         return rfm.grid_products(self.items, BUNDLE)
 

@@ -8,7 +8,7 @@ not the whole history.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,8 +25,17 @@ class StarTables:
     spark: SparkSession
     folder: str
 
+    _open: dict[str, DataFrame] = field(default_factory=dict)
+
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A base table; its footer is read once."""
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._open[name]
+
+    def _values(self, rows: str, columns: str) -> DataFrame:
+        """A short constant list as a local relation, whose size Spark knows."""
+        return self.spark.sql(f"SELECT * FROM VALUES {rows} AS t({columns})")
 
     # ---- history -------------------------------------------------------------
     def orders(self, lo: int | None = None, hi: int | None = None) -> DataFrame:
@@ -152,8 +161,7 @@ class StarTables:
                 .select("product_id", "item_id", "descr", "brand", "category"))
 
     def offer_kinds(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [("A", "01"), ("N", "01"), ("R", "02")], "offer_kind string, profit_kind string")
+        return self._values("('A','01'), ('N','01'), ('R','02')", "offer_kind, profit_kind")
 
     def geography(self) -> DataFrame:
         return (self.raw("nation").join(self.raw("region"),
@@ -191,18 +199,16 @@ class StarTables:
     @cached_property
     def forced_slots(self) -> DataFrame:
         """Forced slots (kind 1) and brand/categories not to repeat (kind 0)."""
-        return self.spark.createDataFrame(
-            [("Brand#12", "STANDARD", 1, 1), ("Brand#18", "STANDARD", 1, 1),
-             ("Brand#9", "LARGE", 1, 2), ("Brand#20", "STANDARD", 0, None),
-             ("Brand#9", "SMALL", 0, None)],
-            "brand string, category string, forced_kind int, slot int")
+        return self._values(
+            "('Brand#12','STANDARD',1,1), ('Brand#18','STANDARD',1,1), ('Brand#9','LARGE',1,2), "
+            "('Brand#20','STANDARD',0,NULL), ('Brand#9','SMALL',0,NULL)",
+            "brand, category, forced_kind, slot")
 
     @cached_property
     def start_days(self) -> DataFrame:
         """Configured start day per order of the daily offer."""
-        return self.spark.createDataFrame(
-            [(1, 0, 1, 1), (2, 0, 2, 1), (3, 1, 1, 1), (4, 2, 1, 0)],
-            "order int, start_day int, order_in_day int, state int")
+        return self._values("(1,0,1,1), (2,0,2,1), (3,1,1,1), (4,2,1,0)",
+                            "order, start_day, order_in_day, state")
 
     # Run headers of the parameter tables: kind, personalisation, profile,
     # process cycle, target cycle, slots, top slots
