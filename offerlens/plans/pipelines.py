@@ -13,10 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offerlens.functions.cycles import cycle_text
 from offerlens.operators import daily, gap_engine, peers, ranking, selection, validation
 from offerlens.params import DAILY_OFFER, ESTABLISHED, NEW, SHOWROOM, RunParams
 from offerlens.plans.workspace import Workspace
 from offerlens.sources.repository import Repository, RunLog
+from offerlens.sources.session import tune
 
 RUN_KEYS = ["country", "process_cycle", "target_cycle", "kind", "personalisation", "profile"]
 # Partition columns of the stored tables
@@ -31,6 +33,7 @@ PROBABILITY_SCHEMA = ("seller_id bigint, offer_id string, flag_top int, probabil
 
 def _logged(log: RunLog, repository: Repository, step: Callable[[], DataFrame]) -> DataFrame:
     """Run a step; success and failure both end up in the run log."""
+    tune(repository.spark)
     try:
         result = step()
         log.ok("run complete")
@@ -43,7 +46,6 @@ def _logged(log: RunLog, repository: Repository, step: Callable[[], DataFrame])
 
 
 def _tagged(df: DataFrame, run: RunParams, keys: dict) -> DataFrame:
-    from offerlens.functions.cycles import cycle_text
     values = {"country": run.country, "process_cycle": cycle_text(run.process_cycle),
               "target_cycle": cycle_text(run.target_cycle), "kind": run.kind,
               "personalisation": run.personalisation, "profile": run.profile, **keys}

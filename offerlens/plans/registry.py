@@ -23,6 +23,7 @@ from offerlens.operators import (base as B, consolidate as C, daily as D, gap_en
 from offerlens.params import (BUNDLE, DAILY_OFFER, ESTIMATION, NEW, SINGLE, RunParams)
 from offerlens.plans.workspace import HISTORY_FRAMES, PEER_FRAMES, Workspace
 from offerlens.sources.repository import Repository
+from offerlens.sources.session import tune
 from offerlens.sources.staging import new_stage_path
 from offerlens.sources.star import StarTables
 from offerlens.sources.warehouse import (OFFER_FILE_NAMES, PARAMETER_FILES, ParameterFiles,
@@ -39,6 +40,7 @@ class Context:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.t = spark, StarTables(spark, folder)
+        tune(spark)
         self.e = Workspace(self.t, ESTABLISHED_RUN)
         self.n = Workspace(self.t, NEW_RUN)
 
@@ -66,12 +68,12 @@ class Context:
 
     @property
     def profiled(self) -> Workspace:
-        return self._lazy("_b", lambda: self.e.sibling((), profile="2"))
+        return self._lazy("_b", lambda: self.e.sibling(("sellers",), profile="2"))
 
     @property
     def new_showroom(self) -> Workspace:
         return self._lazy("_s", lambda: self.n.sibling(
-            ("products", "kinds", "base_all", "base", "offers", "items", "offer_products",
+            ("products", "kinds", "sellers", "base_all", "base", "offers", "items", "offer_products",
              "new_purchases", "next_behaviour", "offer_penetration", "new_grid"),
             personalisation="SR"))
 

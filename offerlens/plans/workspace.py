@@ -27,8 +27,8 @@ def staged(fn):
 
 
 # Frames that depend neither on the peer grouping nor on the rule set
-HISTORY_FRAMES = ("products", "kinds", "items", "single_products", "bundle_products", "base_all", "base", "base_with_profile", "activity",
-                  "tagged_sales", "catalog", "cycle_sales", "single_prices", "single_grid",
+HISTORY_FRAMES = ("products", "kinds", "items", "single_products", "bundle_products", "sellers",
+                  "base_all", "base", "base_with_profile", "activity", "tagged_sales", "catalog", "cycle_sales", "single_prices", "single_grid",
                   "bundle_prices", "bundle_grid")
 # Frames of one peer grouping, shared by the showroom and the daily rule set
 PEER_FRAMES = ("offers", "gifts", "offer_products", "peer_sellers", "single_filled",
@@ -94,16 +94,21 @@ class Workspace:
         return sales_ops.offer_units(self.offer_products)
 
     # ---- base ----------------------------------------------------------------
+    @staged
+    def sellers(self) -> DataFrame:
+        """Enrolment cycles: the one frame that needs the whole order history."""
+        return self.tables.sellers()
+
     @staged
     def recent_status(self) -> DataFrame:
         """Enough status history to find sellers of their first six cycles."""
         p = self.run.process_cycle
-        return self.tables.status(p - 5, p)
+        return self.tables.status(p - 5, p, sellers=self.sellers)
 
     @staged
     def base_all(self) -> DataFrame:
         t, p = self.tables, self.run.process_cycle
-        return base_ops.seller_base(t.sales(p - 2, p), self.recent_status, t.sellers(), self.kinds,
+        return base_ops.seller_base(t.sales(p - 2, p), self.recent_status, self.sellers, self.kinds,
                                     t.geography(), t.profiles(), self.run)
 
     @cached_property
@@ -119,7 +124,8 @@ class Workspace:
     def history_status(self) -> DataFrame:
         r = self.run
         return sales_ops.status_history(
-            self.tables.status(r.start, r.process_cycle, only=self.base_all),
+            self.tables.status(r.start, r.process_cycle, only=self.base_all,
+                               sellers=self.sellers),
             r.start, r.process_cycle)
 
     @staged
@@ -381,7 +387,8 @@ class Workspace:
     @cached_property
     def entrants(self) -> DataFrame:
         t, r = self.tables, self.run
-        return new_sellers.recent_entrants(t.status(r.new_start, r.process_cycle), t.sellers(), r)
+        return new_sellers.recent_entrants(
+            t.status(r.new_start, r.process_cycle, sellers=self.sellers), self.sellers, r)
 
     @staged
     def next_behaviour(self) -> DataFrame:

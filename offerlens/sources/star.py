@@ -53,14 +53,13 @@ class StarTables:
         join: those rows are fewer and narrower, and lines are then shuffled by
         order and by item, never by a seller who may hold a third of them.
         """
-        heads = self.orders(lo, hi).select("o_orderkey", F.col("o_custkey").alias("seller_id"),
-                                           "cycle")
+        places = self.raw("customer").select(F.col("c_custkey").alias("seller_id"),
+                                             F.col("c_nationkey").alias("territory"))
         if only is not None:
-            heads = heads.join(only.select("seller_id"), "seller_id", "left_semi")
-        heads = (heads
-                 .join(self.raw("customer").select(F.col("c_custkey").alias("seller_id"),
-                                                   F.col("c_nationkey").alias("territory")),
-                       "seller_id"))
+            places = places.join(only.select("seller_id"), "seller_id", "left_semi")
+        heads = (self.orders(lo, hi)
+                 .select("o_orderkey", F.col("o_custkey").alias("seller_id"), "cycle")
+                 .join(places, "seller_id"))
         lines = self.raw("lineitem").select(
             F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("item_id"),
             F.col("l_returnflag").alias("offer_kind"), "l_tax", "l_discount",
@@ -108,15 +107,16 @@ class StarTables:
                 .agg(F.min("cycle").alias("enrol_cycle")))
 
     def status(self, lo: int | None = None, hi: int | None = None,
-               only: DataFrame | None = None) -> DataFrame:
+               only: DataFrame | None = None, sellers: DataFrame | None = None) -> DataFrame:
         """One row per seller and cycle since enrolment.
 
-        ``only`` restricts to some sellers before the cycles are expanded.  The
+        ``only`` restricts to some sellers before the cycles are expanded;
+        ``sellers`` gives the enrolment cycles when they are stored already.  The
         calendar (the distinct cycles of the history, a few per year) enters as
         one array value, so the expansion is an explode and not a range join.
         """
-        sellers, orders = self.sellers(), self.orders(
-            None if lo is None else lo - (RECENT_CYCLES - 1), hi)
+        sellers = self.sellers() if sellers is None else sellers
+        orders = self.orders(None if lo is None else lo - (RECENT_CYCLES - 1), hi)
         if only is not None:
             keep = only.select("seller_id").distinct()
             sellers = sellers.join(keep, "seller_id", "left_semi")
