@@ -42,13 +42,19 @@ class Context:
         self.spark, self.t = spark, StarTables(spark, folder)
         tune(spark)
         self.e = Workspace(self.t, ESTABLISHED_RUN)
-        self.n = Workspace(self.t, NEW_RUN)
 
     def _lazy(self, name: str, build: Callable):
         if name not in self.__dict__:
             self.__dict__[name] = build()
         return self.__dict__[name]
 
+    @property
+    def n(self) -> Workspace:
+        return self._lazy("_n", lambda: self.e.sibling(
+            ("products", "kinds", "sellers"), process_cycle=NEW_RUN.process_cycle,
+            target_cycle=NEW_RUN.target_cycle, kind=NEW_RUN.kind,
+            personalisation=NEW_RUN.personalisation))
+
     @property
     def by_profile(self) -> Workspace:
         return self._lazy("_p", lambda: self.e.sibling(
@@ -435,12 +441,11 @@ def _parameter_csv(c: Context) -> DataFrame:
     """Offer parameters through a header CSV and back, typed, one country."""
     folder = new_stage_path(c.spark, "csv")
     names = {v: k for k, v in OFFER_FILE_NAMES.items()}
-    file, schema = PARAMETER_FILES["offers"]
-    rows = c.t.offer_parameters()
-    order = [f.split()[0] for f in schema.split(", ")]
+    rows, files = c.t.offer_parameters(), ParameterFiles(c.spark, folder, "C1")
+    order = [f.split()[0] for f in PARAMETER_FILES["offers"].split(", ")]
     (rows.withColumnsRenamed({k: v for k, v in names.items() if k in rows.columns})
-     .select(*order).write.option("header", True).csv(f"{folder}/{file}"))
-    return ParameterFiles(c.spark, folder, "C1").get("offers")
+     .select(*order).write.option("header", True).csv(files.path("offers")))
+    return files.get("offers")
 
 
 def _full_overwrite(c: Context) -> DataFrame:

@@ -39,7 +39,7 @@ WAREHOUSE = {
 }
 CYCLE_COLUMNS = ("cycle", "ref_cycle", "enrol_cycle")
 
-# Schemas of the five parameter files
+# Column names and types of the five parameter files
 _RUN = ("CODPAIS string, ANIOCAMPANAPROCESO string, ANIOCAMPANAEXPO string, TIPOARP string, "
         "TIPOPERSONALIZACION string, PERFIL string")
 OFFER_FILE = _RUN + (
@@ -49,11 +49,9 @@ OFFER_FILE = _RUN + (
 SLOT_FILE = _RUN + ", MARCA string, CATEGORIA string, TIPOFORZADO int, VINCULOESPACIO int"
 PROFILE_FILE = "CODPAIS string, CODEBELISTA string, ANIOCAMPANAPROCESO string, PERFIL int"
 PARAMETER_FILES = {
-    "offers": ("arp_parametros/arp_parametros.csv", OFFER_FILE),
-    "offers_estimation": ("arp_parametros/arp_parametros_est.csv", OFFER_FILE),
-    "forced_slots": ("arp_parametros/arp_espacioforzados.csv", SLOT_FILE),
-    "forced_slots_estimation": ("arp_parametros/arp_espacioforzados_est.csv", SLOT_FILE),
-    "profiles": ("MDL_PERFILOUTPUT_PE201810.csv", PROFILE_FILE),
+    "offers": OFFER_FILE, "offers_estimation": OFFER_FILE,
+    "forced_slots": SLOT_FILE, "forced_slots_estimation": SLOT_FILE,
+    "profiles": PROFILE_FILE,
 }
 # Parameter file column -> engine column
 OFFER_FILE_NAMES = {
@@ -88,16 +86,23 @@ def parameter_csv(spark: SparkSession, path: str, schema: str, country: str,
 
 
 class ParameterFiles:
-    """The five parameter files of a folder, each read and cached once."""
+    """The five parameter files of a folder, each read and cached once.
 
-    def __init__(self, spark: SparkSession, folder: str, country: str):
+    ``files`` gives the site's file names; otherwise ``<name>.csv`` is read.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, country: str,
+                 files: dict[str, str] | None = None):
         self.spark, self.folder, self.country = spark, folder.rstrip("/"), country
+        self.files = files or {}
         self._open: dict[str, DataFrame] = {}
 
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{self.files.get(name, name + '.csv')}"
+
     def get(self, name: str) -> DataFrame:
         if name not in self._open:
-            file, schema = PARAMETER_FILES[name]
-            df = parameter_csv(self.spark, f"{self.folder}/{file}", schema, self.country)
+            df = parameter_csv(self.spark, self.path(name), PARAMETER_FILES[name], self.country)
             self._open[name] = df.withColumnsRenamed(OFFER_FILE_NAMES).cache()
         return self._open[name]
 

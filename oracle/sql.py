@@ -816,7 +816,7 @@ def statement(name: str, columns: list[tuple[str, str]]) -> str:
 
     def shape(col, kind):
         x = f'CAST("{col}" AS {SQL_TYPES[kind]})'
-        return f'round({x}, 6) AS "{col}"' if kind == "r" else f'{x} AS "{col}"'
+        return f'{rnd(x, 6) if kind == "r" else x} AS "{col}"'
     select = ", ".join(shape(c, k) for c, k in columns)
     head = f"WITH {', '.join(ctes)}\n" if ctes else ""
     return f"{head}SELECT {select} FROM ({body}) AS result"
