@@ -58,7 +58,7 @@ def word_ids(line: Column, levels: Column) -> Column:
         h = F.xxhash64(w)
         return F.shiftleft(F.get(levels, _slot(h).cast("int")), 58).bitwiseOR(F.shiftrightunsigned(h, 6))
 
-    return F.array_sort(F.array_distinct(F.transform(words_of(line), one)))
+    return F.sort_array(F.array_distinct(F.transform(words_of(line), one)))
 
 
 def source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

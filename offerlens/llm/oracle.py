@@ -84,11 +84,11 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)"""
 
 SQL["op10_line_dedup"] = rf"""
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
-line AS (SELECT doc_id, k - 1 AS line_no, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(l[k]), '{SPACE}'), x -> x <> ''))) AS w
+line AS (SELECT doc_id, k - 1 AS line_no, list_sort(list_distinct(regexp_extract_all(lower(l[k]), '{WORD}'))) AS w
   FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS k FROM d)),
-cls AS (SELECT w, min((doc_id, line_no)) AS first, row_number() OVER () AS c FROM line WHERE len(w) > 0 GROUP BY w),
-gone AS (SELECT DISTINCT y.c FROM cls x JOIN cls y ON len(x.w) * 5 >= len(y.w) * 4 AND len(y.w) * 5 >= len(x.w) * 4
-  AND x.first < y.first AND len(list_intersect(x.w, y.w)) * 9 >= 4 * (len(x.w) + len(y.w))),
+cls AS (SELECT w, min((doc_id, line_no)) AS first, row_number() OVER () AS c, len(w) AS n FROM line WHERE len(w) > 0 GROUP BY w),
+sized AS (SELECT *, unnest(range((4 * n + 4) // 5, 5 * n // 4 + 1)) AS other FROM cls),
+gone AS (SELECT DISTINCT y.c FROM sized x JOIN cls y ON y.n = x.other AND x.first < y.first AND len(list_intersect(x.w, y.w)) * 9 >= 4 * (x.n + y.n)),
 off AS (SELECT line.doc_id, line.line_no FROM line JOIN cls ON line.w = cls.w LEFT JOIN gone ON gone.c = cls.c
   WHERE gone.c IS NOT NULL OR (line.doc_id, line.line_no) <> cls.first)
 SELECT d.doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, count(off.line_no)::BIGINT AS n_removed,
