@@ -5,9 +5,11 @@ held by its first line (by doc_id, then line number).  Words are ranked by rarit
 all documents: their counts are kept in ``SLOTS`` hashed slots, a word's id is the
 logarithm of its slot's count in the top bits and a 58-bit hash below, so sorting ids
 orders any two words the same way everywhere, rarest first.  Two sets with a Jaccard
-similarity of at least ``SIMILAR`` share two words of their prefixes, which are one word
-longer than a single shared word would need; length and the places of the shared words
-bound the overlap.  The pairs that are left are verified on all their words.
+similarity of at least ``SIMILAR`` share a word of their prefixes; their lengths and the
+places of the shared word bound the overlap.  A bitmap of 64 parities per line bounds it
+once more: every word that only one of two sets has flips one bit, so sets differ in at
+least as many words as their bitmaps do in bits.  The pairs that are left, few beside
+the true ones, are verified on all their words.
 
 A line goes if an earlier line of its class, or of a class it matches, comes before it.
 
@@ -79,10 +81,14 @@ def classified(src: DataFrame, levels: Column) -> DataFrame:
     """Every line with its class, its number of words and its prefix; a document
     without text has one row without a line."""
     ids = word_ids(F.col("line"), F.col("levels"))
-    length = F.col("size") - _at_least(F.col("size"), SIMILAR[0], SIMILAR[1]) + 2
+    length = F.col("size") - _at_least(F.col("size"), SIMILAR[0], SIMILAR[1]) + 1
+    parity = F.aggregate("ids", F.lit(0).cast(LONG), lambda a, x: a.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast(LONG), x.bitwiseAND(F.lit(63).cast(LONG)).cast("int"))))
+    # For the join, 32 bits of a word are enough: a clash is one more pair to verify.
+    short = F.transform(F.slice("ids", F.lit(1), length), lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
     return (src.select("doc_id", "tie", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
             .withColumn("levels", levels).select("doc_id", "tie", "line_no", ids.alias("ids")).withColumn("size", F.size("ids"))
-            .select("doc_id", "tie", "line_no", F.xxhash64("ids").alias("cls"), "size", F.slice("ids", F.lit(1), length).alias("prefix")))
+            .select("doc_id", "tie", "line_no", F.xxhash64("ids").alias("cls"), "size", parity.alias("parity"), short.alias("prefix")))
 
 
 def _place() -> Column:
@@ -91,21 +97,18 @@ def _place() -> Column:
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """(a, b, overlap): pairs of classes that may match, from (cls, size, prefix)."""
-    items = classes.select("cls", "size", F.posexplode("prefix").alias("at", "word"))
+    """(a, b, overlap): pairs of classes that may match, from (cls, size, parity, prefix)."""
+    items = classes.select("cls", "size", "parity", F.posexplode("prefix").alias("at", "word"))
     x, y = items.alias("x"), items.alias("y")
-    m, n, p, q = F.col("x.size"), F.col("y.size"), F.col("x.at"), F.col("y.at")
+    m, n = F.col("x.size"), F.col("y.size")
     need = _overlap(m, n)
     # Conditions on both sides at once: the two sides stay one exchange of the same rows.
     met = x.join(y, (F.col("x.word") == F.col("y.word"))
                  & ((m < n) | ((m == n) & (F.col("x.cls") < F.col("y.cls"))))
                  & (m * SIMILAR[1] >= n * SIMILAR[0])
-                 & (p <= m - need + 1) & (q <= n - need + 1)
-                 & (F.least(p, q) + F.least(m - p, n - q) >= need))
-    return (met.groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), m.alias("m"), n.alias("n"))
-            .agg(F.count(F.lit(1)).alias("shared"), F.min(p).alias("p"), F.min(q).alias("q"))
-            .where((F.col("shared") >= 2) & (F.least(F.col("m") - F.col("p"), F.col("n") - F.col("q")) >= _overlap(F.col("m"), F.col("n"))))
-            .select("a", "b", _overlap(F.col("m"), F.col("n")).alias("overlap")))
+                 & (F.least(m - F.col("x.at"), n - F.col("y.at")) >= need)
+                 & (F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= m + n - 2 * need))
+    return met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), need.alias("overlap")).distinct()
 
 
 def word_sets(src: DataFrame, levels: Column, wanted: DataFrame) -> DataFrame:
@@ -125,7 +128,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     levels = written(rarity(src), "line-levels").scalar()
     rows = written(classified(src, levels), "lines")
     classes = written(rows.groupBy("cls").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"),
-                                              F.first("prefix").alias("prefix")).where("size > 0"), "line-classes")
+                                              F.first("parity").alias("parity"), F.first("prefix").alias("prefix")).where("size > 0"), "line-classes")
     found = written(candidates(classes), "line-pairs")
     wanted = written(found.select(F.col("a").alias("w")).unionByName(found.select(F.col("b").alias("w"))).distinct()
                      .join(classes, F.col("w") == F.col("cls")).select("cls", "first"), "line-wanted")
