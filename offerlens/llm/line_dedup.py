@@ -6,18 +6,20 @@ all documents: their counts are kept in ``SLOTS`` hashed slots, a word's id is t
 logarithm of its slot's count in the top bits and a 58-bit hash below, so sorting ids
 orders any two words the same way everywhere, rarest first.  Two sets with a Jaccard
 similarity of at least ``SIMILAR`` share a word of their prefixes; their lengths and the
-places of the shared word bound the overlap.  A bitmap of 64 parities per line bounds it
-once more: every word that only one of two sets has flips one bit, so sets differ in at
-least as many words as their bitmaps do in bits.  The pairs that are left, few beside
-the true ones, are verified on all their words.
+places of the shared word bound the overlap.  A bitmap of ``PARITIES`` bits per line
+bounds it once more: every word that only one of two sets has flips one bit, so sets
+differ in at least as many words as their bitmaps do in bits.  Pairs that are left are
+verified on the words themselves.
 
 A line goes if an earlier line of its class, or of a class it matches, comes before it.
+So a class is first verified against the earliest class it may match, and only where
+that fails against all the others.
 
-All of it is DataFrame work.  Whole word sets are built again for lines that are left
-to verify only, found by small Bloom filters; no set of all lines is ever shuffled.
+All of it is DataFrame work.  Only lines that are left to verify are read again and
+shuffled, found by small Bloom filters; neither texts nor word sets of all lines are.
 
 Defined cases: a null text has no lines; a line without words is never removed; words
-are compared by 58-bit hashes.  Rows that repeat a ``doc_id`` count as one document if
+are ranked by 58-bit hashes and classes told apart by 64 bits (the bitmap and a hash).  Rows that repeat a ``doc_id`` count as one document if
 their text is the same; else their lines are told apart by a hash of the text.  A null
 ``doc_id`` comes last.
 """
@@ -31,6 +33,7 @@ from .shared import SPACE, bloom_filter, filter_words, possibly_in, written
 
 SIMILAR = (4, 5)              # 4/5, as whole numbers so that no bound is rounded
 SLOTS = 1 << 18               # of word counts: the largest thing that is sent to every task
+PARITIES = 40                 # bits of the class that are the bitmap; the rest is a hash
 LONG = "long"
 
 
@@ -39,7 +42,7 @@ def _slot(h: Column) -> Column:
 
 
 def words_of(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), SPACE), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(line), SPACE), "")
 
 
 def rarity(docs: DataFrame) -> DataFrame:
@@ -83,12 +86,13 @@ def classified(src: DataFrame, levels: Column) -> DataFrame:
     ids = word_ids(F.col("line"), F.col("levels"))
     length = F.col("size") - _at_least(F.col("size"), SIMILAR[0], SIMILAR[1]) + 1
     parity = F.aggregate("ids", F.lit(0).cast(LONG), lambda a, x: a.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast(LONG), x.bitwiseAND(F.lit(63).cast(LONG)).cast("int"))))
+        F.call_function("shiftleft", F.lit(1).cast(LONG), F.pmod(x, F.lit(PARITIES)).cast("int"))))
+    cls = F.shiftleft(F.xxhash64("ids"), PARITIES).bitwiseOR(parity)
     # For the join, 32 bits of a word are enough: a clash is one more pair to verify.
     short = F.transform(F.slice("ids", F.lit(1), length), lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
     return (src.select("doc_id", "tie", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
             .withColumn("levels", levels).select("doc_id", "tie", "line_no", ids.alias("ids")).withColumn("size", F.size("ids"))
-            .select("doc_id", "tie", "line_no", F.xxhash64("ids").alias("cls"), "size", parity.alias("parity"), short.alias("prefix")))
+            .select("doc_id", "tie", "line_no", cls.alias("cls"), "size", short.alias("prefix")))
 
 
 def _place() -> Column:
@@ -97,8 +101,8 @@ def _place() -> Column:
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """(a, b, overlap): pairs of classes that may match, from (cls, size, parity, prefix)."""
-    items = classes.select("cls", "size", "parity", F.posexplode("prefix").alias("at", "word"))
+    """(a, b, overlap): pairs of classes that may match, from (cls, size, prefix)."""
+    items = classes.select("cls", "size", F.posexplode("prefix").alias("at", "word"))
     x, y = items.alias("x"), items.alias("y")
     m, n = F.col("x.size"), F.col("y.size")
     need = _overlap(m, n)
@@ -107,19 +111,28 @@ def candidates(classes: DataFrame) -> DataFrame:
                  & ((m < n) | ((m == n) & (F.col("x.cls") < F.col("y.cls"))))
                  & (m * SIMILAR[1] >= n * SIMILAR[0])
                  & (F.least(m - F.col("x.at"), n - F.col("y.at")) >= need)
-                 & (F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= m + n - 2 * need))
+                 & (F.bit_count(F.shiftleft(F.col("x.cls").bitwiseXOR(F.col("y.cls")), 64 - PARITIES)) <= m + n - 2 * need))
     return met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), need.alias("overlap")).distinct()
 
 
-def word_sets(src: DataFrame, levels: Column, wanted: DataFrame) -> DataFrame:
-    """(cls, ids) of the lines at the places ``wanted`` (and of a few more)."""
+def texts_at(src: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, line) of the lines at the places ``wanted`` (cls, first)."""
+    places = wanted.select("cls", "first.*")
     doc, line = F.xxhash64("doc_id", "tie"), F.xxhash64("doc_id", "tie", "line_no")
-    words = filter_words(wanted.count())
-    docs = written(bloom_filter(wanted.select(doc.alias("h")), words), "line-filter")
-    lines = written(bloom_filter(wanted.select(line.alias("h")), words), "line-filter")
+    words = filter_words(places.count())
+    docs = written(bloom_filter(places.select(doc.alias("h")), words), "line-filter")
+    lines = written(bloom_filter(places.select(line.alias("h")), words), "line-filter")
     found = possibly_in(possibly_in(src, doc, docs, words).select("doc_id", "tie", F.posexplode(F.split("text", "\n")).alias("line_no", "line")),
-                        line, lines, words)
-    return found.select("line", levels.alias("levels")).select(word_ids(F.col("line"), F.col("levels")).alias("ids")).select(F.xxhash64("ids").alias("cls"), "ids")
+                        line, lines, words).alias("f")
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"p.{c}")) for c in ("doc_id", "tie", "line_no")]
+    return found.join(places.alias("p"), same).select("cls", "line").dropDuplicates(["cls"])
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The classes ``late`` of those pairs (late, early, overlap) that really match."""
+    x, y = texts.select(F.col("cls").alias("late"), F.col("line").alias("x")), texts.select(F.col("cls").alias("early"), F.col("line").alias("y"))
+    shared = F.size(F.array_intersect(words_of(F.col("x")), words_of(F.col("y"))))
+    return pairs.join(x, "late").join(y, "early").where(shared >= F.col("overlap")).select("late").distinct()
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,15 +141,19 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     levels = written(rarity(src), "line-levels").scalar()
     rows = written(classified(src, levels), "lines")
     classes = written(rows.groupBy("cls").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"),
-                                              F.first("parity").alias("parity"), F.first("prefix").alias("prefix")).where("size > 0"), "line-classes")
+                                              F.first("prefix").alias("prefix")).where("size > 0"), "line-classes")
     found = written(candidates(classes), "line-pairs")
     wanted = written(found.select(F.col("a").alias("w")).unionByName(found.select(F.col("b").alias("w"))).distinct()
                      .join(classes, F.col("w") == F.col("cls")).select("cls", "first"), "line-wanted")
-    sets = written(word_sets(src, levels, wanted.select("first.*")).join(wanted, "cls").select("cls", "ids", "first"), "line-sets")
-    one, two = sets.alias("x"), sets.alias("y")
-    same = (found.join(one, F.col("a") == F.col("x.cls")).join(two, F.col("b") == F.col("y.cls"))
-            .where(F.size(F.array_intersect("x.ids", "y.ids")) >= F.col("overlap")))
-    later = same.select(F.when(F.col("x.first") < F.col("y.first"), F.col("b")).otherwise(F.col("a")).alias("gone")).distinct()
+    one, two = wanted.select(F.col("cls").alias("a"), F.col("first").alias("fa")), wanted.select(F.col("cls").alias("b"), F.col("first").alias("fb"))
+    swap = F.col("fb") < F.col("fa")
+    turned = written(found.join(one, "a").join(two, "b")
+                     .select(F.when(swap, F.col("a")).otherwise(F.col("b")).alias("late"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("early"),
+                             F.least("fa", "fb").alias("first"), "overlap"), "line-turned")
+    texts = written(texts_at(src, wanted), "line-texts")
+    earliest = turned.groupBy("late").agg(F.min(F.struct("first", "early", "overlap")).alias("e")).select("late", "e.early", "e.overlap")
+    done = written(verified(earliest, texts), "line-done")
+    later = done.unionByName(verified(turned.join(done, "late", "left_anti").select("late", "early", "overlap"), texts)).withColumnRenamed("late", "gone")
     # Classes that matter below: repeated, or removed whole.
     known = written(classes.join(later, F.col("cls") == F.col("gone"), "left").where("n > 1 or gone is not null")
                     .select(F.col("cls").alias("c"), "first", F.col("gone").isNotNull().alias("whole")), "line-known")
