@@ -1,7 +1,7 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
 Words are summed by source and hash bucket; the running sum finds the bucket that
-holds a source's budget; only that bucket is refined, twice more, down to single hash
+holds a source's budget; only that bucket is refined, level by level, down to single hash
 values.  A document is in when its hash is at most its source's threshold: no sort,
 and the same choice on every run.  Targets above a source's size take every document
 once and the rest of the target a second time.
@@ -22,7 +22,7 @@ from .shared import WORD, written
 WEIGHTS = (3, 1, 2)           # repeating, over the sources in order
 SHARE = 1.5                   # of all words
 MOST = 2                      # times a source's own words
-LEVELS = (20, 20)             # bits of the hash per histogram; 20 more remain
+LEVELS = (10, 10, 10)         # bits of the hash per histogram: 1,024 buckets per source; 30 more remain
 
 
 def words_of(text: Column) -> Column:
