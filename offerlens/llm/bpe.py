@@ -19,10 +19,11 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The byte-level alphabet shows these bytes as themselves, the others,
@@ -31,6 +32,8 @@ SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 # The letters of the contractions 're 've 'll that must stay together.
 CONTRACTIONS = (b"re", b"ve", b"ll")
 
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"   # fixed value
+
 REMEMBERED = 250_000          # fragments per Python worker; then the memory starts anew
 LONGEST_REMEMBERED = 48       # bytes
 
@@ -83,13 +86,29 @@ class Codec:
         self.cuts = cut_table(self.bytes_of)
         for token, i in added.items():
             self.bytes_of[i] = token.encode()
+        self.fast = self._merger(data["model"], vocabulary)
         self.special = re.compile(b"(" + b"|".join(re.escape(t.encode()) for t in added) + b")") if added else None
+        self.added = {t.encode(): i for t, i in added.items()}
         self.known: dict[bytes, bytes] = {}
 
+    def _merger(self, model: dict, vocabulary: dict[str, int]):
+        """A quicker encoder of single fragments, usable if merges are in the order of
+        their ids and the pre-tokenizer is the usual pattern."""
+        made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        pre = json.loads(self.library.to_str())["pre_tokenizer"]
+        if made != sorted(made) or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex"):
+            return None
+        import tiktoken
+
+        ranks = {self.bytes_of[i]: i for i in vocabulary.values()}
+        return tiktoken.Encoding("fragments", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        texts = [f.decode() for f in new]
-        found = {f: np.array(e.ids, "<u4").tobytes()
-                 for f, e in zip(new, self.library.encode_batch_fast(texts, add_special_tokens=False))}
+        if self.fast:
+            lists = map(self.fast, map(bytes.decode, new))
+        else:
+            lists = (e.ids for e in self.library.encode_batch_fast([f.decode() for f in new], add_special_tokens=False))
+        found = {f: struct.pack(f"<{len(ids)}I", *ids) for f, ids in zip(new, lists)}
         if len(self.known) + len(found) > REMEMBERED:
             self.known.clear()
         self.known.update((f, i) for f, i in found.items() if len(f) <= LONGEST_REMEMBERED)
@@ -116,11 +135,11 @@ class Codec:
             return self._plain(text)
         # Special tokens stand at the odd places; the library encodes them as one id.
         parts = self.special.split(text)
-        return b"".join(self._learn([p])[p] if k % 2 else self._plain(p) for k, p in enumerate(parts) if p)
+        return b"".join(struct.pack("<I", self.added[p]) if k % 2 else self._plain(p) for k, p in enumerate(parts) if p)
 
     def decode(self, ids: np.ndarray) -> str:
-        table, n = self.bytes_of, len(self.bytes_of)
-        return b"".join([table[i] for i in ids.tolist() if 0 <= i < n]).decode("utf-8", "replace")
+        ids = ids[(ids >= 0) & (ids < len(self.bytes_of))]
+        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
 def texts_of(a: pa.Array):
@@ -141,16 +160,19 @@ def encoded(text: Column, path: str) -> Column:
     return F.arrow_udf(ids, "array<int>")(text)
 
 
-def encoded_bytes(text: Column, path: str, end_id: int | None = None) -> Column:
-    """The same ids as little-endian unsigned 32-bit integers in one binary value,
-    followed by ``end_id`` if one is given."""
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-
-    def ids(texts: pa.Array) -> pa.Array:
+def encoded_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids): as ``encoded``, but as a step of its own, which Spark runs once
+    however often the ids are used afterwards."""
+    def run(batches):
         c = codec(path)
-        return pa.array([c.encode(t) + end for t in texts_of(texts)], pa.binary())
-
-    return F.arrow_udf(ids, "binary")(text)
+        for batch in batches:
+            packed = [c.encode(t) for t in texts_of(batch.column(1))]
+            ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+            yield pa.record_batch([batch.column(0), lists], ["doc_id", "ids"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decoded(ids: Column, path: str) -> Column:
