@@ -71,8 +71,11 @@ def has_configuration(parameters: DataFrame, run: RunParams) -> bool:
         & (F.col("personalisation") == DAILY_OFFER) & (F.col("profile") == "1")).isEmpty()
 
 
-def with_configured_days(rows: DataFrame, start_days: DataFrame) -> DataFrame:
-    active = (start_days.where(F.col("state") == 1)
+def with_configured_days(rows: DataFrame, start_days: DataFrame, run: RunParams) -> DataFrame:
+    active = (start_days.where(
+        (F.col("state") == 1) & (F.col("country") == run.country) & (F.col("kind") == run.kind)
+        & (F.col("personalisation") == DAILY_OFFER)
+        & (F.col("target_cycle") == cycle_text(run.target_cycle)))
               .select("order", "start_day", "order_in_day"))
     return (rows.join(active, "order")
             .withColumn("order", F.col("order_in_day")).drop("order_in_day"))
@@ -104,5 +107,5 @@ def daily_interface(cands: DataFrame, complement: DataFrame | None, plan: DataFr
             interface_rows(generic_complement(complement), products, None))
     if configured is None:
         configured = has_configuration(parameters, run)
-    rows = with_configured_days(rows, start_days) if configured else with_default_days(rows)
+    rows = with_configured_days(rows, start_days, run) if configured else with_default_days(rows)
     return interface_table(rows, run)

@@ -3,7 +3,7 @@
 The slot rules are greedy: what one slot takes, a later slot cannot.  A
 seller's candidates are at most the offers of the run (one row each), so they
 are packed in one sorted array per seller and the slots are filled by folding
-over it inside generated code: one shuffle by seller for all slots together.
+over it, once per seller: one shuffle by seller for all slots together.
 """
 
 from __future__ import annotations

@@ -18,14 +18,17 @@ def pick_source(run: RunParams, personalisation: DataFrame, estimation: DataFram
     return estimation if run.load == ESTIMATION else personalisation
 
 
-def run_rows(parameters: DataFrame, run: RunParams, any_profile: bool = False) -> DataFrame:
-    """Parameter rows of the run.  The target cycle is not part of the filter:
-    one process cycle serves one target cycle."""
+def run_rows(parameters: DataFrame, run: RunParams, any_profile: bool = False,
+             target: bool = False) -> DataFrame:
+    """Parameter rows of the run.  Scores take those of every target cycle; checks and
+    ranking rules those of the run's ``target`` alone."""
     cond = ((F.col("country") == run.country) & (F.col("kind") == run.kind)
             & (F.col("personalisation") == run.personalisation)
             & (F.col("process_cycle") == cycle_text(run.process_cycle)))
     if not any_profile:
         cond = cond & (F.col("profile") == run.profile)
+    if target:
+        cond = cond & (F.col("target_cycle") == cycle_text(run.target_cycle))
     return parameters.where(cond)
 
 
@@ -41,8 +44,8 @@ def gift_list(rows: DataFrame) -> DataFrame:
             .distinct())
 
 
-def forced_slot_rows(slots: DataFrame) -> DataFrame:
-    return slots.select("brand", "category", "forced_kind", "slot")
+def forced_slot_rows(slots: DataFrame, run: RunParams) -> DataFrame:
+    return run_rows(slots, run, target=True).select("brand", "category", "forced_kind", "slot")
 
 
 def slot_counts(rows: DataFrame) -> DataFrame:

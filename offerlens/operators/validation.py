@@ -54,7 +54,7 @@ def _message_if_any(found: DataFrame, text: str) -> DataFrame:
 def validation_report(parameters: DataFrame, products: DataFrame, run: RunParams) -> DataFrame:
     """All failed checks of the run.  Estimation runs only need parameters and
     known products.  "No parameters" is reported when there are none."""
-    rows = run_rows(parameters, run)
+    rows = run_rows(parameters, run, target=True)
     unknown = (missing_products(rows, products)
                .agg(F.sort_array(F.collect_list("product_id")).alias("p"))
                .where(F.size("p") > 0)
@@ -64,7 +64,7 @@ def validation_report(parameters: DataFrame, products: DataFrame, run: RunParams
         parts += [
             _message_if_any(several_parents(rows), PARENT_ERROR),
             _message_if_any(repeated_sales_codes(rows), REPEATED_CODE),
-            _message_if_any(offers_without_parent(run_rows(parameters, run, any_profile=True)),
+            _message_if_any(offers_without_parent(run_rows(parameters, run, any_profile=True, target=True)),
                             NO_PARENT),
         ]
     return reduce(DataFrame.unionByName, parts)

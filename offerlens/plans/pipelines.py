@@ -60,17 +60,17 @@ def build_scores(tables, run: RunParams, repository: Repository, log: RunLog) ->
     def step() -> DataFrame:
         parameters = selection.pick_source(run, tables.offer_parameters(),
                                            tables.estimation_parameters())
-        # a handful of message rows at most: one per failed check
-        for row in validation.validation_report(parameters, w.products, run).take(10):
+        # one message row per failed check
+        for row in validation.validation_report(parameters, w.products, run).collect():
             log.error(row["message"])
         country = w.base_all.withColumn("country", F.lit(run.country))
         stored = repository.save(country, "seller_base", BASE_PARTITIONS)
         w.provide(base_all=stored.where(
-            (F.col("country") == run.country) & (F.col("profile") == run.profile))
-            .join(country.select("process_cycle").distinct(), "process_cycle", "left_semi")
+            (F.col("country") == run.country) & (F.col("profile") == run.profile)
+            & (F.col("process_cycle") == cycle_text(run.process_cycle)))
             .select(*w.base_all.columns))
         if run.kind == NEW:
-            repository.save(w.complement, "offer_complement")
+            repository.save(_tagged(w.complement, run, {}), "offer_complement", RUN_KEYS)
             return repository.save(w.probabilities, "probabilities", PROBABILITY_PARTITIONS)
         w.provide(single_grid=repository.save(w.single_grid, "single_variables"),
                   bundle_grid=repository.save(w.bundle_grid, "bundle_variables"))
@@ -120,8 +120,10 @@ def apply_ranking_rules(tables, run: RunParams, repository: Repository, log: Run
             return repository.save(w.estimates, "estimated_totals")
         if run.personalisation != DAILY_OFFER:
             raise ValueError(f"no ranking rules for {run.personalisation}")
-        complement = (repository.spark.table(repository.name("offer_complement"))
-                      if run.kind == NEW else None)
+        complement = None
+        if run.kind == NEW:
+            stored = repository.spark.table(repository.name("offer_complement"))
+            complement = selection.run_rows(stored, run, target=True)
         rows = daily.daily_interface(
             ranking.candidates(w.probabilities, run, drop_zero=False), complement, w.slot_plan,
             w.offer_products_coded, tables.sellers(), tables.offer_parameters(),

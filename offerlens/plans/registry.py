@@ -371,6 +371,7 @@ _q("probability_engine", PROB, lambda c: c.engine.probabilities)
 
 # ---- showroom ranking ----------------------------------------------------------
 _q("slot_plan", "slots:i top_slots:i fixed_slots:i free_slots:i", lambda c: c.e.slot_plan)
+_q("forced_slot_rows", "brand:s category:s forced_kind:i slot:i", lambda c: c.e.forced)
 _q("fixed_slots", "brand:s category:s slot:i n_offers:l", lambda c: T.fixed_slots(c.e.forced)
    .join(c.e.offer_products, ["brand", "category"], "left")
    .groupBy("brand", "category", "slot").agg(F.count("offer_id").alias("n_offers")))

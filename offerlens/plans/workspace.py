@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from offerlens.operators import (base as base_ops, consolidate, gap_engine, new_sellers, peers,
                                  ranking, rfm, sales as sales_ops, selection)
-from offerlens.params import BUNDLE, NEW, SINGLE, RunParams
+from offerlens.params import BUNDLE, NEW, SINGLE, RunParams, SHOWROOM
 from offerlens.sources.staging import cut
 
 
@@ -419,13 +419,22 @@ class Workspace:
             return new_sellers.probability_table(self.new_scores, self.run)
         return gap_engine.probability_table(self.scored, self.run)
 
+    @staged
+    def ranking_rows(self) -> DataFrame:
+        """Showroom rules rank by the estimation file, whatever the load."""
+        source = (self.tables.estimation_parameters() if self.run.personalisation == SHOWROOM
+                  else self.tables.offer_parameters())
+        return selection.run_rows(source, self.run, target=True)
+
     @cached_property
     def forced(self) -> DataFrame:
-        return selection.forced_slot_rows(self.tables.forced_slots)
+        slots = (self.tables.forced_slots_estimation if self.run.personalisation == SHOWROOM
+                 else self.tables.forced_slots)
+        return selection.forced_slot_rows(slots, self.run)
 
     @cached_property
     def slot_plan(self) -> DataFrame:
-        return ranking.slot_plan(selection.slot_counts(self.parameter_rows), self.forced)
+        return ranking.slot_plan(selection.slot_counts(self.ranking_rows), self.forced)
 
     @cached_property
     def ranking(self) -> DataFrame:
@@ -455,4 +464,4 @@ class Workspace:
     def estimates(self) -> DataFrame:
         return ranking.estimated_totals(
             ranking.sellers_per_offer(self.final_order),
-            selection.all_products(self.parameter_rows), self.products, self.run)
+            selection.all_products(self.ranking_rows), self.products, self.run)

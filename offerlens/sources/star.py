@@ -198,16 +198,29 @@ class StarTables:
 
     @cached_property
     def forced_slots(self) -> DataFrame:
-        """Forced slots (kind 1) and brand/categories not to repeat (kind 0)."""
-        return self._values(
-            "('Brand#12','STANDARD',1,1), ('Brand#18','STANDARD',1,1), ('Brand#9','LARGE',1,2), "
-            "('Brand#20','STANDARD',0,NULL), ('Brand#9','SMALL',0,NULL)",
-            "brand, category, forced_kind, slot")
+        """Forced slots (kind 1) and brand/categories not to repeat (kind 0) of every
+        run.  Those of profile 2 and of the later target cycle belong to other runs."""
+        slots = ["'Brand#12','STANDARD',1,1", "'Brand#18','STANDARD',1,1", "'Brand#9','LARGE',1,2",
+                 "'Brand#20','STANDARD',0,NULL", "'Brand#9','SMALL',0,NULL"]
+        rows = [f"('C1','{p}','{t}','{k}','{s}','{x}',{v})" for k, s, x, p, t, _, _ in self.RUNS
+                for v in (slots if x == "X" else ["'Brand#3','PROMO',1,3", "'Brand#4','LARGE',0,NULL"])]
+        rows.append("('C1','200110','200112','E','SR','X','Brand#5','PROMO',1,4)")
+        return self._values(", ".join(rows), "country, process_cycle, target_cycle, kind, "
+                            "personalisation, profile, brand, category, forced_kind, slot")
+
+    @cached_property
+    def forced_slots_estimation(self) -> DataFrame:
+        return self.forced_slots.where(F.col("personalisation") == "SR")
 
     @cached_property
     def start_days(self) -> DataFrame:
-        """Configured start day per order of the daily offer."""
-        return self._values("(1,0,1,1), (2,0,2,1), (3,1,1,1), (4,2,1,0)",
+        """Configured start day per order of the daily offer, by run; the rows of the
+        showroom and of another country must not show up."""
+        days = ["1,0,1,1", "2,0,2,1", "3,1,1,1", "4,2,1,0"]
+        rows = [f"('C1','{t}','{k}','ODD',{d})" for k, t in (("E", "200111"), ("N", "199613"))
+                for d in days]
+        rows += ["('C2','200111','E','ODD',1,7,9,1)", "('C1','200111','E','SR',2,8,9,1)"]
+        return self._values(", ".join(rows), "country, target_cycle, kind, personalisation, "
                             "order, start_day, order_in_day, state")
 
     # Run headers of the parameter tables: kind, personalisation, profile,

@@ -670,9 +670,11 @@ FINAL["probability_engine"] = _prob("score_mc_units", 1)
 # ---- showroom ranking ----------------------------------------------------------
 CTES["q_plan"] = """
 SELECT slots, top_slots, f AS fixed_slots, slots - f - top_slots AS free_slots FROM
- (SELECT coalesce(max(slots), 0) AS slots, coalesce(max(top_slots), 0) AS top_slots FROM q_rows)
+ (SELECT coalesce(max(slots), 0) AS slots, coalesce(max(top_slots), 0) AS top_slots
+   FROM v_estimation WHERE kind = 'E' AND personalisation = 'SR' AND process_cycle = '200110' AND target_cycle = '200111')
  CROSS JOIN (SELECT coalesce(max(slot), 0) AS f FROM v_forced WHERE forced_kind = 1)"""
 FINAL["slot_plan"] = "SELECT * FROM q_plan"
+FINAL["forced_slot_rows"] = "SELECT * FROM v_forced"
 FINAL["fixed_slots"] = """
 SELECT f.brand, f.category, f.slot, count(o.offer_id) AS n_offers FROM (SELECT DISTINCT brand, category, slot FROM v_forced WHERE forced_kind = 1) f
  LEFT JOIN q_oproducts o USING (brand, category) GROUP BY 1,2,3"""
@@ -683,7 +685,7 @@ _RANK = "row_number() OVER (PARTITION BY seller_id ORDER BY {0}probability DESC,
 
 
 def _ranking(tag: str, source: str, established: bool) -> None:
-    """Unrolled slot rules: forced slots 1-2, then up to 6 free picks."""
+    """Unrolled slot rules: forced slots 1-2, then up to 8 free picks."""
     CTES[f"q_cand{tag}"] = source
     CTES[f"q_rank{tag}"] = f"SELECT *, {_RANK.format('')} AS position FROM q_cand{tag}"
     keep = "WHERE position <> 3" if established else ""
@@ -709,7 +711,7 @@ SELECT s.seller_id, (SELECT fixed_slots + free_slots FROM q_plan) - count(f.offe
 SELECT p.* FROM q_prop{tag} p ANTI JOIN q_forced2{tag} t ON t.seller_id = p.seller_id AND t.offer_id = p.offer_id
  WHERE NOT EXISTS (SELECT 1 FROM v_forced f WHERE f.forced_kind = 0 AND f.brand = p.brand AND f.category = p.category)"""
     picks = []
-    for i in range(1, 7):
+    for i in range(1, 9):
         CTES[f"q_pick{i}{tag}"] = f"""
 SELECT seller_id, offer_id, probability, {i} AS rank FROM (SELECT *, {_RANK.format('')} AS n
   FROM (SELECT DISTINCT seller_id, offer_id, probability FROM q_open{i - 1}{tag})) JOIN q_cap{tag} USING (seller_id)
@@ -746,7 +748,8 @@ CTES["q_per_offer"] = "SELECT offer_id, count(DISTINCT seller_id) AS total_selle
 FINAL["sellers_per_offer"] = "SELECT * FROM q_per_offer"
 FINAL["estimated_totals"] = """
 WITH t AS (SELECT r.product_id, r.offer_type, r.offer_id, r.sales_code, r.units, r.price, r.parent, max(p.descr) AS descr, max(p.brand) AS brand,
-  max(p.category) AS category FROM (SELECT DISTINCT offer_type, offer_id, product_id, units, price, sales_code, parent FROM q_rows) r
+  max(p.category) AS category FROM (SELECT DISTINCT offer_type, offer_id, product_id, units, price, sales_code, parent FROM v_estimation
+    WHERE kind = 'E' AND personalisation = 'SR' AND process_cycle = '200110' AND target_cycle = '200111') r
   JOIN v_product p USING (product_id) WHERE p.descr IS NOT NULL GROUP BY 1,2,3,4,5,6,7)
 SELECT t.offer_type, t.offer_id, t.brand, t.category, t.product_id, t.descr, t.units, sum(c.total_sellers) AS total_sellers, 'SR' AS personalisation
  FROM q_per_offer c JOIN t USING (offer_id) GROUP BY 1,2,3,4,5,6,7"""
