@@ -34,8 +34,9 @@ CONTRACTIONS = (b"re", b"ve", b"ll")
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"   # fixed value
 
-REMEMBERED = 250_000          # fragments per Python worker; then the memory starts anew
+REMEMBERED = 100_000          # fragments per Python worker; then the memory starts anew
 LONGEST_REMEMBERED = 48       # bytes
+STRETCH = 1000                # texts that a worker encodes at a time
 
 _OPEN: dict[str, "Codec"] = {}
 
@@ -68,15 +69,12 @@ def cut_table(tokens: list[bytes]) -> np.ndarray:
 
 
 class Codec:
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"                         # Spark's tasks use the cores
-        from tokenizers import Tokenizer
+    """Decoding needs the tokens' bytes alone; what encodes is loaded with the first
+    fragment, so that workers that only decode do not hold it."""
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        with open(path, encoding="utf-8") as f:
-            data = json.load(f)
+    def __init__(self, path: str):
+        self.path = path
+        data = self._file()
         alphabet = byte_of_character()
         vocabulary = data["model"]["vocab"]
         added = {t["content"]: t["id"] for t in data["added_tokens"]}
@@ -86,28 +84,40 @@ class Codec:
         self.cuts = cut_table(self.bytes_of)
         for token, i in added.items():
             self.bytes_of[i] = token.encode()
-        self.fast = self._merger(data["model"], vocabulary)
         self.special = re.compile(b"(" + b"|".join(re.escape(t.encode()) for t in added) + b")") if added else None
         self.added = {t.encode(): i for t, i in added.items()}
         self.known: dict[bytes, bytes] = {}
+        self.fragments = None
+
+    def _file(self) -> dict:
+        with open(self.path, encoding="utf-8") as f:
+            return json.load(f)
+
+    def _encoder(self):
+        """From a list of fragments to the ids of each: a quick one for single fragments
+        if merges are in the order of their ids and the pre-tokenizer is the usual
+        pattern, else the library."""
+        data = self._file()
+        vocabulary, pre = data["model"]["vocab"], data["pre_tokenizer"] or {}
+        made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in data["model"]["merges"]]
+        if made == sorted(made) and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space", True) and pre.get("use_regex", True):
+            import tiktoken
+
+            ranks = {self.bytes_of[i]: i for i in vocabulary.values()}
+            quick = tiktoken.Encoding("fragments", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            return lambda texts: map(quick, texts)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"                         # Spark's tasks use the cores
+        from tokenizers import Tokenizer
 
-    def _merger(self, model: dict, vocabulary: dict[str, int]):
-        """A quicker encoder of single fragments, usable if merges are in the order of
-        their ids and the pre-tokenizer is the usual pattern."""
-        made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
-        pre = json.loads(self.library.to_str())["pre_tokenizer"]
-        if made != sorted(made) or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex"):
-            return None
-        import tiktoken
-
-        ranks = {self.bytes_of[i]: i for i in vocabulary.values()}
-        return tiktoken.Encoding("fragments", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return lambda texts: (e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False))
 
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        if self.fast:
-            lists = map(self.fast, map(bytes.decode, new))
-        else:
-            lists = (e.ids for e in self.library.encode_batch_fast([f.decode() for f in new], add_special_tokens=False))
+        if self.fragments is None:
+            self.fragments = self._encoder()
+        lists = self.fragments([f.decode() for f in new])
         found = {f: struct.pack(f"<{len(ids)}I", *ids) for f, ids in zip(new, lists)}
         if len(self.known) + len(found) > REMEMBERED:
             self.known.clear()
@@ -148,31 +158,39 @@ def texts_of(a: pa.Array):
         yield x.as_py() or b""
 
 
+def stretches(batches):
+    """The same rows, few at a time, so that a worker holds the ids of few texts."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, STRETCH):
+            yield batch.slice(k, STRETCH)
+
+
+def id_lists(packed: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+
+
 def encoded(text: Column, path: str) -> Column:
     """Ids of a text: array<int>, empty where the text is null."""
     def ids(texts: pa.Array) -> pa.Array:
-        c, packed, ends = codec(path), [], [0]
-        for t in texts_of(texts):
-            packed.append(c.encode(t))
-            ends.append(ends[-1] + len(packed[-1]) // 4)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+        c = codec(path)
+        return id_lists([c.encode(t) for t in texts_of(texts)])
 
     return F.arrow_udf(ids, "array<int>")(text)
 
 
-def encoded_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): as ``encoded``, but as a step of its own, which Spark runs once
-    however often the ids are used afterwards."""
+def round_trips(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded): documents encoded and their ids decoded again, by one
+    worker, so the ids do not go back and forth and one worker's memory is enough."""
     def run(batches):
         c = codec(path)
-        for batch in batches:
+        for batch in stretches(batches):
             packed = [c.encode(t) for t in texts_of(batch.column(1))]
-            ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
-            yield pa.record_batch([batch.column(0), lists], ["doc_id", "ids"])
+            texts = pa.array([c.decode(np.frombuffer(p, "<i4")) for p in packed], pa.string())
+            yield pa.record_batch([batch.column(0), id_lists(packed), texts], ["doc_id", "ids", "decoded"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
 def decoded(ids: Column, path: str) -> Column:

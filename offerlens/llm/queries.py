@@ -40,8 +40,7 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    ids = bpe.encoded_documents(table(spark, folder, "documents"), vocabulary())
-    both = ids.withColumn("decoded", bpe.decoded(F.col("ids"), vocabulary()))
+    both = bpe.round_trips(table(spark, folder, "documents"), vocabulary())
     n, ids_sha, text_sha = bpe.digests(F.col("ids"), F.col("decoded"))
     return both.select("doc_id", n.alias("n_tokens"), ids_sha.alias("ids_sha256"), text_sha.alias("decoded_sha256"))
 

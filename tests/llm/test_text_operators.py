@@ -196,6 +196,14 @@ def test_round_trip(documents, library, edges):
         assert r.t == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
 
 
+def test_round_trips_in_one_worker(documents, library, edges, monkeypatch):
+    monkeypatch.setattr(bpe, "STRETCH", 7)
+    texts = edges + tricky()[:50]
+    for r in bpe.round_trips(documents(texts, clash=True), vocabulary()).collect():
+        assert r.ids == ids_of(library, texts[r.doc_id]) and r.decoded == (texts[r.doc_id] or "")
+    assert bpe.round_trips(documents(["x"]).limit(0), vocabulary()).count() == 0
+
+
 def test_decoding_odd_ids(spark, library):
     lists = [[447], [50256, 2], [99999, 5], [], None, [250, 250]]
     df = spark.createDataFrame([(x,) for x in lists], "ids array<int>").select("ids", bpe.decoded(F.col("ids"), vocabulary()).alias("t"))
