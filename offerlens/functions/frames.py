@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Offers and their products are run parameters: a campaign's offer file.  Up to
-# this many rows they travel inside the plan; beyond it the grid is built by a
-# keyed join instead (see ``seller_offer_grid``).
-MAX_INLINE_OFFERS = 5_000
-GRID_CELLS = 64
+# The grid's cells: offers are packed in so many chunks, sellers dealt to so many
+# slices.  Chunks bound the array a task holds to a 16th of the run's offers.
+OFFER_CHUNKS = 16
+SELLER_SLICES = 64
 
 
 def update_from(left: DataFrame, right: DataFrame, keys: list[str],
@@ -30,44 +27,25 @@ def update_from(left: DataFrame, right: DataFrame, keys: list[str],
             .select(*left.columns))
 
 
-def update_with(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Replace several columns at once; every expression sees the old values."""
-    return df.withColumns(columns)
-
-
 def delete_matching(df: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:
     """Remove the rows of ``df`` whose keys appear in ``doomed``."""
     return df.join(doomed.select(*keys).distinct(), keys, "left_anti")
 
 
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
-
-
-def seller_offer_grid(sellers: DataFrame, offers: DataFrame,
-                      max_inline: int = MAX_INLINE_OFFERS) -> DataFrame:
+def seller_offer_grid(sellers: DataFrame, offers: DataFrame, chunks: int = OFFER_CHUNKS,
+                      slices: int = SELLER_SLICES) -> DataFrame:
     """Every seller with every offer row (the scoring grid).
 
-    The offer list is checked first: ``limit(max + 1)`` reads no more than the
-    bound.  A small list becomes one array value in the plan and each seller
-    row is exploded in place: no join, no shuffle, works for any seller skew.
-    A longer list is joined on explicit cell keys: sellers are cut in slices,
-    offers in buckets, and every (slice, bucket) cell is one task-sized piece.
+    Offers are packed by hash in one array per chunk, repeated for each slice of
+    sellers.  Each seller asks for all chunks and unpacks what it gets.  Spark
+    broadcasts the arrays when they measure small; else sellers times chunks (not
+    times offers) are shuffled, and no (slice, chunk) cell holds a large share of them.
     """
-    if offers.limit(max_inline + 1).count() <= max_inline:
-        packed = offers.agg(
-            F.sort_array(F.collect_list(F.struct(*offers.columns))).alias("o")).scalar()
-        return (sellers.withColumn("_o", F.explode(packed))
-                .select(*sellers.columns, *[F.col(f"_o.{c}").alias(c) for c in offers.columns]))
-    return _grid_by_cells(sellers, offers)
-
-
-def _grid_by_cells(sellers: DataFrame, offers: DataFrame, cells: int = GRID_CELLS) -> DataFrame:
-    every = F.sequence(F.lit(0), F.lit(cells - 1))
-    left = (sellers
-            .withColumn("_slice", F.pmod(F.xxhash64(*sellers.columns), F.lit(cells)).cast("int"))
-            .withColumn("_bucket", F.explode(every)))
-    right = (offers
-             .withColumn("_bucket", F.pmod(F.xxhash64(*offers.columns), F.lit(cells)).cast("int"))
-             .withColumn("_slice", F.explode(every)))
-    return left.join(right, ["_slice", "_bucket"]).drop("_slice", "_bucket")
+    packed = (offers.groupBy(F.pmod(F.xxhash64(*offers.columns), F.lit(chunks)).cast("int").alias("_chunk"))
+              .agg(F.sort_array(F.collect_list(F.struct(*offers.columns))).alias("_offers"))
+              .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))))
+    asking = (sellers
+              .withColumn("_slice", F.pmod(F.xxhash64(*sellers.columns), F.lit(slices)).cast("int"))
+              .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))))
+    return (asking.join(packed, ["_slice", "_chunk"]).withColumn("_o", F.explode("_offers"))
+            .select(*sellers.columns, *[F.col(f"_o.{c}").alias(c) for c in offers.columns]))

@@ -60,11 +60,11 @@ def gift_items(gifts: DataFrame, products: DataFrame) -> DataFrame:
                     "item_id"))
 
 
-def gift_values(gifts: DataFrame, catalog: DataFrame, kinds: DataFrame,
+def gift_values(gifts: DataFrame, prices: DataFrame, kinds: DataFrame,
                 units: DataFrame) -> DataFrame:
     """Value of the gifts of an offer per unit sold: the highest normal price of
     each item, averaged per gift product, times its units."""
-    per_item = (catalog.where(F.col("normal_price") > 0)
+    per_item = (prices.where(F.col("normal_price") > 0)
                 .join(kinds.select("offer_kind").distinct(), "offer_kind", "left_semi")
                 .groupBy("item_id").agg(F.max("normal_price").alias("normal_price")))
     per_product = (gifts.select("offer_id", "product_id", "units", "item_id").distinct()

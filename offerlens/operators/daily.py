@@ -81,9 +81,11 @@ def with_configured_days(rows: DataFrame, start_days: DataFrame, run: RunParams)
             .withColumn("order", F.col("order_in_day")).drop("order_in_day"))
 
 
-def with_default_days(rows: DataFrame) -> DataFrame:
+def with_default_days(rows: DataFrame, run: RunParams) -> DataFrame:
+    """Start days by order; new sellers' rows carry no order beside them."""
     day = F.create_map(*[F.lit(v) for kv in DEFAULT_START_DAY.items() for v in kv])
-    return rows.withColumn("start_day", F.try_element_at(day, F.col("order")))
+    dated = rows.withColumn("start_day", F.try_element_at(day, F.col("order")))
+    return dated if run.kind == ESTABLISHED else dated.withColumn("order", F.lit(0))
 
 
 def interface_table(rows: DataFrame, run: RunParams) -> DataFrame:
@@ -107,5 +109,5 @@ def daily_interface(cands: DataFrame, complement: DataFrame | None, plan: DataFr
             interface_rows(generic_complement(complement), products, None))
     if configured is None:
         configured = has_configuration(parameters, run)
-    rows = with_configured_days(rows, start_days, run) if configured else with_default_days(rows)
+    rows = with_configured_days(rows, start_days, run) if configured else with_default_days(rows, run)
     return interface_table(rows, run)

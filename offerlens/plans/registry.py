@@ -7,7 +7,6 @@ decimals (averages of doubles, whose last bits depend on the order of the sum).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -497,22 +496,21 @@ _q("io_self_overwrite", "seller_id:l cycle:i net:d", _self_overwrite)
 _CONTEXTS: dict[tuple, Context] = {}
 
 
-def _signature(folder: str) -> tuple | None:
-    """Names, sizes and times of the input files; None when not a local folder."""
-    try:
-        return tuple(sorted((e.name, e.stat().st_size, e.stat().st_mtime_ns)
-                            for e in os.scandir(folder)))
-    except OSError:
-        return None
+def _signature(spark: SparkSession, folder: str) -> tuple:
+    """Number, bytes and a hash of names, sizes and times of all input files, as any
+    store lists them, part files of nested folders too."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+             .select("length", F.xxhash64("path", "length", "modificationTime").alias("h")))
+    return tuple(files.agg(F.count("h"), F.sum("length"),
+                           F.sum(F.col("h").cast("decimal(38,0)"))).first())
 
 
 def context(spark: SparkSession, folder: str, fresh: bool = False) -> Context:
     """The context of a folder.  Stage tables are shared by the queries of one
     session as long as the input files stay the same; ``fresh`` starts anew."""
-    signature = _signature(folder)
-    if fresh or signature is None:
+    if fresh:
         return Context(spark, folder)
-    key = (spark.sparkContext.applicationId, folder, signature)
+    key = (spark.sparkContext.applicationId, folder, _signature(spark, folder))
     if key not in _CONTEXTS:
         _CONTEXTS[key] = Context(spark, folder)
     return _CONTEXTS[key]

@@ -331,7 +331,7 @@ class Workspace:
     @cached_property
     def gift_values(self) -> DataFrame:
         return consolidate.gift_values(self.gift_items,
-                                       self.tables.catalog(only=self.gift_items), self.kinds,
+                                       self.tables.normal_prices(self.gift_items), self.kinds,
                                        self.units)
 
     @cached_property

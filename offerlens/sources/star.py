@@ -102,6 +102,15 @@ class StarTables:
                         .when(F.col("item_id") % 3 == 1, "CATALOGO")
                         .otherwise("OTRO").alias("vehicle")))
 
+    def normal_prices(self, only: DataFrame) -> DataFrame:
+        """Item, offer kind and normal price of some items, in whatever cycle sold."""
+        sold = (self.raw("lineitem").select(F.col("l_partkey").alias("item_id"),
+                                            F.col("l_returnflag").alias("offer_kind"))
+                .join(only.select("item_id").distinct(), "item_id", "left_semi").distinct())
+        items = self.raw("part").select(F.col("p_partkey").alias("item_id"),
+                                        F.col("p_retailprice").cast(MONEY).alias("normal_price"))
+        return sold.join(items, "item_id").select("item_id", "offer_kind", "normal_price")
+
     def sellers(self) -> DataFrame:
         return (self.orders().groupBy(F.col("o_custkey").alias("seller_id"))
                 .agg(F.min("cycle").alias("enrol_cycle")))

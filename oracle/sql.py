@@ -773,7 +773,7 @@ def _interface(rows: str, coded: str, kind: str, sale_cycle: str, configured: bo
     if configured:
         join, day, order = "JOIN v_start_day d ON d.\"order\" = r.\"order\" AND d.state = 1", "d.start_day", "d.order_in_day"
     else:
-        join, order = "", 'r."order"'
+        join, order = "", 'r."order"' if kind == "E" else "0"
         day = "CASE r.\"order\" WHEN 1 THEN 0 WHEN 2 THEN -1 WHEN 3 THEN 1 WHEN 4 THEN 2 WHEN 5 THEN 3 WHEN 6 THEN 4 END"
     return f"""
 SELECT DISTINCT 'C1' AS country, 'ODD' AS personalisation, '{sale_cycle}' AS sale_cycle, r.seller_id, o.product_id, o.item_code, o.sales_code,

@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
-from offerlens.functions.frames import (_grid_by_cells, delete_matching, seller_offer_grid,
-                                        update_from)
+from offerlens.functions.frames import delete_matching, seller_offer_grid, update_from
 from offerlens.functions.scoring import logistic, ratio, standardise
 
 
@@ -18,23 +17,29 @@ def test_delete_matching_with_repeated_keys(spark):
     assert [tuple(r) for r in delete_matching(df, doomed, ["k"]).collect()] == [(2, "a")]
 
 
-def test_grid_inline_and_by_cells_agree(spark):
+def test_grid_holds_each_pair_once_whatever_the_cells(spark):
     sellers = spark.range(57).withColumnRenamed("id", "seller_id")
     offers = spark.range(41).select(F.col("id").cast("string").alias("offer_id"),
                                     (F.col("id") % 3).alias("flag_top"))
     expected = {(s, str(o), o % 3) for s in range(57) for o in range(41)}
-    inline = seller_offer_grid(sellers, offers)
-    cells = seller_offer_grid(sellers, offers, max_inline=10)
-    assert inline.count() == cells.count() == len(expected)
-    assert {tuple(r) for r in inline.collect()} == {tuple(r) for r in cells.collect()} == expected
+    for df in (seller_offer_grid(sellers, offers), seller_offer_grid(sellers, offers, 1, 1),
+               seller_offer_grid(sellers, offers, 50, 3)):
+        rows = [tuple(r) for r in df.collect()]
+        assert len(rows) == len(expected) and set(rows) == expected
+
+
+def test_grid_with_repeated_sellers_and_no_offers(spark):
+    sellers = spark.createDataFrame([(1,), (1,), (2,)], "seller_id long")
+    offers = spark.createDataFrame([("a",), (None,)], "offer_id string")
+    assert seller_offer_grid(sellers, offers).count() == 6
+    assert seller_offer_grid(sellers, offers.limit(0)).count() == 0
 
 
 def test_grid_cells_do_not_use_a_cross_join(spark):
     sellers = spark.range(10).withColumnRenamed("id", "seller_id")
     offers = spark.range(10).withColumnRenamed("id", "offer_id")
-    for df in (_grid_by_cells(sellers, offers), seller_offer_grid(sellers, offers)):
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    plan = seller_offer_grid(sellers, offers)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_standardise(spark):
