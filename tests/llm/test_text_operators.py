@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from offerlens.llm import bpe, exact_dedup, langid, licenses, line_dedup, mixing, simhash, token_files
+import corpus_pipeline
+from offerlens.llm import bpe, exact_dedup, langid, licenses, line_dedup, mixing, near_copies, simhash, token_files
 from offerlens.llm.queries import vocabulary
 
 
@@ -93,6 +94,49 @@ def test_simhash_keeps_one_of_each(documents):
 
 
 # ---- language ID -----------------------------------------------------------------
+def brute_near(texts):
+    """For each text, the least text reachable over pairs with a Jaccard similarity of 0.8."""
+    words = [(t or "").split() for t in texts]
+    sets = [{tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} for w in words]
+    return brute_components(range(len(texts)), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+
+
+def near_variants():
+    """Texts with near copies on both sides of 0.8, and a group in which all have one passage."""
+    rng = random.Random(5)
+    texts = []
+    for size in (5, 9, 40, 120, 400):
+        for _ in range(6):
+            base = [f"w{rng.randrange(5000)}" for _ in range(size)]
+            texts.append(" ".join(base))
+            for changes in (1, 2, 3, 5, 9):
+                other = list(base)
+                for _ in range(max(1, changes * size // 120)):
+                    other[rng.randrange(size)] = f"v{rng.randrange(5000)}"
+                texts.append(" ".join(other))
+            texts.append(" ".join(base + base[:size // 8]))
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts += [f"{passage} {k} {k + 1} {k % 7}" for k in range(60)] + [f"{k} x{k} y{k} {passage} z{k} u{k} v{k} t{k}" for k in range(60)]
+    rng.shuffle(texts)
+    return texts
+
+
+def test_near_copies_are_brute_force(documents):
+    texts = [*near_variants(), None, "", "one two", "One  two"]
+    want = {k for k, c in brute_near([t and t.lower() for t in texts]).items() if k == c}
+    docs = documents(texts, clash=True).repartition(7)
+    got = near_copies.deduplicated(docs)
+    assert got.columns == docs.columns and 100 < len(want) < len(texts) - 100
+    assert sorted(r.doc_id for r in got.collect()) == sorted(want)
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(None, docs, "").collect()) == sorted(want)
+
+
+def test_near_copies_without_ids(documents):
+    rows = [(None, "a b", "en", "s"), (3, "a b", "en", "s"), (5, "a b", "en", "s"), (None, "c", "en", "s")]
+    assert sorted((r.doc_id or -1, r.text) for r in near_copies.deduplicated(documents(rows)).collect()) == [(-1, "a b"), (-1, "c"), (3, "a b")]
+    assert near_copies.deduplicated(documents(["x"]).limit(0)).count() == 0
+
+
 def test_languages_held_out(small):
     rows = langid.identified(small).join(small.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert len(rows) > 30 and sum(r.lang_pred == r.lang for r in rows) >= 0.97 * len(rows)
