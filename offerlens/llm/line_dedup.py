@@ -20,7 +20,7 @@ All of it is DataFrame work.  Only lines that are left to verify are read again
 shuffled, found by small Bloom filters; neither texts nor word sets of all lines are.
 
 Defined cases: a null text has no lines; a line without words is never removed; words
-are ranked by 58-bit hashes and classes told apart by 64 bits (of the bitmap and a hash).  Rows that repeat a ``doc_id`` count as one document if
+are ranked by 58-bit hashes and classes told apart by a 64-bit hash of these.  Rows that repeat a ``doc_id`` count as one document if
 their text is the same; else their lines are told apart by a hash of the text.  A null
 ``doc_id`` comes last.
 """
@@ -34,7 +34,6 @@ from .shared import SPACE, bloom_filter, filter_words, possibly_in, written
 
 SIMILAR = (4, 5)              # 4/5, as whole numbers so that no bound is rounded
 SLOTS = 1 << 18               # of word counts: the largest thing that is sent to every task
-PARITIES = 40                 # bits of the bitmap in the key of a class, beside 24 of a hash
 LONG = "long"
 
 
@@ -88,13 +87,11 @@ def classified(src: DataFrame, levels: Column) -> DataFrame:
     length = F.col("size") - _at_least(F.col("size"), SIMILAR[0], SIMILAR[1]) + 2
     parity = F.aggregate("ids", F.lit(0).cast(LONG), lambda a, x: a.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast(LONG), x.bitwiseAND(F.lit(63).cast(LONG)).cast("int"))))
-    cls = F.shiftleft(F.xxhash64("ids"), PARITIES).bitwiseOR(F.shiftrightunsigned("parity", 64 - PARITIES))
-    rest = F.col("parity").bitwiseAND(F.lit((1 << (64 - PARITIES)) - 1).cast(LONG)).cast("int")
     # For the join, 32 bits of a word are enough: a clash is one more pair to verify.
     short = F.transform(F.slice("ids", F.lit(1), length), lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
     return (src.select("doc_id", "tie", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
             .withColumn("levels", levels).select("doc_id", "tie", "line_no", ids.alias("ids")).withColumns({"size": F.size("ids"), "parity": parity})
-            .select("doc_id", "tie", "line_no", cls.alias("cls"), rest.alias("rest"), "size", short.alias("prefix")))
+            .select("doc_id", "tie", "line_no", F.xxhash64("ids").alias("cls"), "parity", "size", short.alias("prefix")))
 
 
 def _place() -> Column:
@@ -103,13 +100,12 @@ def _place() -> Column:
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """(a, b, overlap): pairs of classes that may match, from (cls, rest, size, prefix)."""
-    items = classes.select("cls", "rest", "size", F.posexplode("prefix").alias("at", "word"))
+    """(a, b, overlap): pairs of classes that may match, from (cls, parity, size, prefix)."""
+    items = classes.select("cls", "parity", "size", F.posexplode("prefix").alias("at", "word"))
     x, y = items.alias("x"), items.alias("y")
     m, n, p, q = F.col("x.size"), F.col("y.size"), F.col("x.at"), F.col("y.at")
     need = _overlap(m, n)
-    apart = (F.bit_count(F.shiftleft(F.col("x.cls").bitwiseXOR(F.col("y.cls")), 64 - PARITIES))
-             + F.bit_count(F.col("x.rest").bitwiseXOR(F.col("y.rest"))))
+    apart = F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity")))
     # Conditions on both sides at once: the two sides stay one exchange of the same rows.
     # They hold for the first two words that a matching pair shares.
     met = x.join(y, (F.col("x.word") == F.col("y.word"))
@@ -145,7 +141,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     src = source(docs, id_col, text_col)
     levels = written(rarity(src), "line-levels").scalar()
     rows = written(classified(src, levels), "lines")
-    classes = written(rows.groupBy("cls").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"), F.first("rest").alias("rest"), F.first("size").alias("size"),
+    classes = written(rows.groupBy("cls").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"), F.first("parity").alias("parity"), F.first("size").alias("size"),
                                               F.first("prefix").alias("prefix")).where("size > 0"), "line-classes")
     found = written(candidates(classes), "line-pairs")
     wanted = written(found.select(F.col("a").alias("w")).unionByName(found.select(F.col("b").alias("w"))).distinct()

@@ -398,3 +398,8 @@ def test_line_dedup_edges(documents):
     assert line_dedup.removed_lines(documents(["x"]).limit(0)).count() == 0
     rows = line_dedup.removed_lines(documents([(None, "a b", "en", "s"), (7, "a b", "en", "s"), (7, "c", "en", "s"), (8, "c", "en", "s")])).collect()
     assert sorted((r.doc_id or -1, r.removed) for r in rows) == [(-1, [0]), (7, []), (7, []), (8, [0])]
+
+
+def test_line_dedup_of_one_word_lines(documents):
+    """These two have equal parities and 24 equal bits of hash."""
+    assert [r.removed for r in line_dedup.removed_lines(documents(["item220255", "item232977"])).collect()] == [[], []]
