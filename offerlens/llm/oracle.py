@@ -94,3 +94,54 @@ off AS (SELECT line.doc_id, line.line_no FROM line JOIN cls ON line.w = cls.w LE
 SELECT d.doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, count(off.line_no)::BIGINT AS n_removed,
   coalesce(string_agg(off.line_no::VARCHAR, ',' ORDER BY off.line_no), '') AS removed_lines
 FROM d LEFT JOIN off ON d.doc_id = off.doc_id GROUP BY d.doc_id, l"""
+
+# CRC-32 of the decimal digits, a bit at a time; its polynomial, reversed, is a fixed value.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+SQL["op12_prefix_trie"] = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+i AS (SELECT conv_id, turn, octet_length(encode(text))::BIGINT AS bytes, substr(sha256(octet_length(encode(role)) || ':' || role || text), 1, 32) AS id FROM t),
+own AS (SELECT conv_id, list({{'id': id, 'bytes': bytes}} ORDER BY turn NULLS FIRST, id) AS t, {_CRC} % 9 AS h FROM i GROUP BY conv_id),
+r AS (SELECT o.conv_id, list_concat(coalesce(b.t[1:o.h], []), o.t[o.h + 1:]) AS t FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+m AS (SELECT conv_id, len(t) AS turns, t, unnest(range(0, len(t) + 1)) AS depth FROM r),
+k AS (SELECT conv_id, turns, depth, array_to_string(list_transform(t[1:depth], lambda x: x.id), '') AS key, coalesce(t[depth].bytes, 0) AS bytes FROM m),
+n AS (SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+   coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (turns = depth), '') AS ends FROM k GROUP BY key, depth),
+c AS (SELECT left(key, 32 * (depth - 1)::INT) AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+f AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM n LEFT JOIN c ON n.key = c.key),
+a AS (SELECT left(key, 32 * up::INT) AS key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+   FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM f) GROUP BY 1)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, a.n_leaves::BIGINT AS n_leaves,
+  a.saved::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN a ON f.key = a.key LEFT JOIN f p ON f.depth > 0 AND p.key = left(f.key, 32 * (f.depth - 1)::INT)"""
+
+SQL["op13_quality_rules"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '{WORD}') AS words, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '{WORD}')) AS lines FROM d),
+x AS (SELECT r, i, count(*) OVER (PARTITION BY r, three) AS n FROM (SELECT r, unnest(range(1, len(words) - 1)) AS i,
+   unnest(list_transform(list_zip(words[:-3], words[2:-2], words[3:]), lambda z: z[1] || ' ' || z[2] || ' ' || z[3])) AS three FROM w WHERE len(words) > 2)),
+y AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM x WHERE n > 1) GROUP BY r),
+f AS (SELECT w.r, doc_id, lang, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+   len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(y.n, 0) AS n_repeat_words,
+   len(list_filter(words, lambda v: regexp_full_match(v, '[^a-z]*[A-Z][^a-z]*'))) AS n_capitals FROM w LEFT JOIN y ON w.r = y.r),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+v AS (SELECT r, doc_id, lang, base_failed, unnest([
+   {{'rule': 'symbols', 'value': least(1000, 1000 * n_symbols // greatest(word_chars, 1))}}, {{'rule': 'duplicate_lines', 'value': 1000 * n_dup_lines // greatest(n_lines, 1)}},
+   {{'rule': 'repeated_words', 'value': 1000 * n_repeat_words // greatest(n_words, 1)}}, {{'rule': 'capitals', 'value': 1000 * n_capitals // greatest(n_words, 1)}},
+   {{'rule': 'long_words', 'value': least(1000, 10 * word_chars // greatest(n_words, 1))}}, {{'rule': 'short_words', 'value': 1000 - least(1000, 10 * word_chars // greatest(n_words, 1))}}]) AS u FROM b),
+l AS (SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+h AS (SELECT lang, u.rule AS rule, u.value AS value, count(*) FILTER (good AND fold = 0) AS good, count(*) FILTER (NOT good AND fold = 0) AS bad, count(*) FILTER (good AND fold = 1) AS held
+   FROM (SELECT *, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 2 AS fold FROM v JOIN l USING (doc_id) WHERE NOT base_failed) GROUP BY ALL),
+s AS (SELECT lang, rule, value, sum(good) OVER down AS good, sum(bad) OVER down AS bad, sum(held) OVER down AS held, sum(held) OVER (PARTITION BY lang, rule) AS n_held
+   FROM h WINDOW down AS (PARTITION BY lang, rule ORDER BY value DESC)),
+g AS (SELECT *, max(bad - 10 * good) OVER (PARTITION BY lang, rule) AS gain FROM s),
+o AS (SELECT *, max(CASE WHEN bad - 10 * good = gain THEN value END) OVER (PARTITION BY lang, rule) AS least_value FROM g),
+c AS (SELECT lang, rule, value, held::BIGINT AS k, n_held::BIGINT AS n FROM o WHERE gain > 0 AND value >= least_value),
+q AS (SELECT lang, 0.05::DOUBLE / count(DISTINCT rule) AS p FROM c GROUP BY lang),
+z AS (SELECT c.lang, rule, min(value) AS cutoff FROM c JOIN q ON c.lang IS NOT DISTINCT FROM q.lang
+   WHERE (CASE WHEN k >= n THEN 1 ELSE list_sum(list_transform(range(0, k + 1),
+     lambda e: exp(lgamma(n + 1) - lgamma(e + 1) - lgamma(n - e + 1) + e * ln(p) + (n - e) * ln(1 - p)))) END)
+     <= 0.05 / greatest(1, (SELECT count(*) FROM (SELECT DISTINCT lang, rule FROM c))) GROUP BY c.lang, rule),
+x2 AS (SELECT r, count(*) AS n FROM v JOIN z ON v.lang IS NOT DISTINCT FROM z.lang AND v.u.rule = z.rule AND v.u.value >= z.cutoff GROUP BY r)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+  base_failed, NOT base_failed AND x2.n IS NULL AS kept FROM b LEFT JOIN x2 ON b.r = x2.r"""

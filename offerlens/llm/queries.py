@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, exact_dedup, langid, licenses, line_dedup, mixing, simhash, token_files, warc
+from . import (bpe, embeddings, exact_dedup, langid, licenses, line_dedup, mixing, prefix_trie, quality, simhash, token_files,
+               warc, whitening)
 from .oracle import SQL  # noqa: F401
 from .shared import table
 
@@ -70,6 +71,20 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
                         F.concat_ws(",", F.col("removed").cast("array<string>")).alias("removed_lines"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_langid, op3_mixing, op4_warc, op5_bpe, op6_licenses, op7_embeddings,
-                            op8_token_files, op9_exact_dedup, op10_line_dedup)}
+                            op8_token_files, op9_exact_dedup, op10_line_dedup, op11_whitening, op12_prefix_trie,
+                            op13_quality_rules)}
