@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm import bpe, exact_dedup, langid, mixing, near_copies
+from offerlens.llm import bpe, exact_dedup, langid, mixing, simhash
 from offerlens.llm.queries import vocabulary
 from offerlens.llm.shared import table, written
 
@@ -25,8 +25,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, Jaccard 0.8."""
-    return near_copies.deduplicated(docs)
+    """One document of each group of near copies stays: fingerprints at most three bits apart."""
+    return simhash.deduplicated(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language ID", identify_language), ("exact dedup", drop_copies), ("near-dedup", drop_near_copies),
           ("source mix", mix_sources), ("BPE", encode)]
 
-# Trained language ID and 64-bit XXH64 fingerprints are beyond SQL; see tests/llm.
+# Trained language ID and majority fingerprints are beyond SQL; see tests/llm.
 ORACLE_SQL = None
 
 
