@@ -1,4 +1,4 @@
-"""Frame-level helpers: update-from, anti-delete, seller x offer grid."""
+"""Frame-level helpers: update-from, anti-delete, spread join, seller x offer grid."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 # slices.  Chunks bound the array a task holds to a 16th of the run's offers.
 OFFER_CHUNKS = 16
 SELLER_SLICES = 64
+# Copies of a short frame, and slices of the sellers, in a spread join.
+SPREAD = 16
 
 
 def update_from(left: DataFrame, right: DataFrame, keys: list[str],
@@ -32,6 +34,21 @@ def delete_matching(df: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFr
     return df.join(doomed.select(*keys).distinct(), keys, "left_anti")
 
 
+def spread_join(large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
+                slices: int = SPREAD) -> DataFrame:
+    """Join a frame of sellers with a short one on keys of few values.
+
+    Offers, products and peer groups have few values, some of them hot (all sellers without
+    a profile share the null group), so rows placed by them alone end in few tasks.  Where
+    Spark measures ``small`` as short it broadcasts it and ``large`` does not move.  Beyond
+    that limit the rows of a key are dealt over ``slices`` by seller, and ``small``, which is
+    short against ``large`` at any size, is repeated for each slice.
+    """
+    dealt = large.withColumn("_slice", F.pmod(F.xxhash64("seller_id"), F.lit(slices)).cast("int"))
+    copies = small.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    return dealt.join(copies, [*keys, "_slice"], how).drop("_slice")
+
+
 def seller_offer_grid(sellers: DataFrame, offers: DataFrame, chunks: int = OFFER_CHUNKS,
                       slices: int = SELLER_SLICES) -> DataFrame:
     """Every seller with every offer row (the scoring grid).

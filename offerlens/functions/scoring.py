@@ -21,6 +21,24 @@ def mean_of(col: Column | str) -> Column:
     return ratio(F.sum(col), F.count(col))
 
 
+# ---- statistics that do not depend on the order of the rows --------------------
+# Sums of doubles do, in their last digits, and a z-score rounded to 4 can flip on them.
+# So values enter as decimals (9 digits behind the point, squares 12), whose sums are exact.
+def exact_sum(x: Column) -> Column:
+    return F.sum(dbl(x).cast("decimal(28,9)"))
+
+
+def exact_squares(x: Column) -> Column:
+    short = dbl(x).cast("decimal(18,6)")
+    return F.sum(short * short)
+
+
+def deviation(total: Column, squares: Column, n: Column) -> Column:
+    """Population deviation from the sums of ``n`` values and of their squares, rounded to 4."""
+    spread = dbl(squares) - F.try_divide(dbl(total) * dbl(total), dbl(n))
+    return F.round(F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), dbl(n))), 4)
+
+
 def zscore(x: Column, mean: Column, sd: Column) -> Column:
     """``round((x - mean) / sd, 4)``; 0 when the deviation is 0."""
     return F.when(sd == 0, F.lit(0.0)).otherwise(
@@ -36,8 +54,9 @@ def row_mean_stats(columns: list[str]) -> Column:
     """One struct of (mean, sd) per column: mean over rows, both rounded to 4."""
     fields = []
     for c in columns:
-        fields.append(F.round(mean_of(F.col(c).cast("double")), 4).alias(f"mean_{c}"))
-        fields.append(F.round(F.stddev_pop(dbl(c)), 4).alias(f"sd_{c}"))
+        total, n = exact_sum(F.col(c)), F.count(c)
+        fields.append(F.round(ratio(total, n), 4).alias(f"mean_{c}"))
+        fields.append(deviation(total, exact_squares(F.col(c)), n).alias(f"sd_{c}"))
     return F.struct(*fields)
 
 

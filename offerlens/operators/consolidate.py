@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.functions.cycles import cycle_count, cycle_set, cycle_text
+from offerlens.functions.frames import spread_join
 from offerlens.functions.scoring import dbl, mean_of, ratio
 from offerlens.params import HISTORY_CYCLES, VALID_PROFIT_KIND, RunParams
 
@@ -102,8 +103,14 @@ def gift_triggers(orders_with_gift: DataFrame, ordered: DataFrame) -> DataFrame:
 
 
 # ---- consolidated table ------------------------------------------------------
-def consolidate(single: DataFrame, bundle: DataFrame, values: DataFrame, gifts: DataFrame,
-                triggers: DataFrame, units: DataFrame) -> DataFrame:
+def offer_extras(values: DataFrame, gifts: DataFrame, units: DataFrame) -> DataFrame:
+    """One row per offer that has units, a gift or a gift value: gift_gap, has_gift, total_units."""
+    with_gift = gifts.select("offer_id").distinct().withColumn("has_gift", F.lit(1))
+    return values.join(with_gift, "offer_id", "full").join(units, "offer_id", "full")
+
+
+def consolidate(single: DataFrame, bundle: DataFrame, extras: DataFrame,
+                triggers: DataFrame) -> DataFrame:
     """Both offer types in one table, gifts taken into account.
 
     Offers without gifts and sellers without gift orders stay, unchanged.
@@ -112,12 +119,10 @@ def consolidate(single: DataFrame, bundle: DataFrame, values: DataFrame, gifts:
               "sales_6c", "sales_prev6", "sales_6c_ly", "sales_24c", "mean_24c", "frequency_24c",
               "recency_24c", "repurchase_cycle", "repurchase_gap", "min_sale_6c", "gap",
               "sales_gap", "flag_bought", "optimal_price", "price_gap", "trigger_rate", "flag_top"]
-    with_gift = gifts.select("offer_id").distinct().withColumn("_has_gift", F.lit(1))
-    per_offer = values.join(with_gift, "offer_id", "full").join(units, "offer_id", "full")
-    df = (single.select(*shared).unionByName(bundle.select(*shared))
-          .join(per_offer, "offer_id", "left").join(triggers, "seller_id", "left"))
+    df = (spread_join(single.select(*shared).unionByName(bundle.select(*shared)), extras, ["offer_id"], "left")
+          .join(triggers, "seller_id", "left"))
     gift_gap = F.coalesce(F.col("gift_gap"), F.lit(0.0))
-    gift_trigger = F.when(F.col("_has_gift") == 1,
+    gift_trigger = F.when(F.col("has_gift") == 1,
                           F.coalesce(F.sqrt("gift_rate") / 10, F.lit(0.0))).otherwise(F.lit(0.0))
     return df.withColumns({
         "gift_gap": gift_gap,
@@ -125,7 +130,7 @@ def consolidate(single: DataFrame, bundle: DataFrame, values: DataFrame, gifts:
         "price_gap": F.col("price_gap") - gift_gap,
         "trigger_rate": F.col("trigger_rate") + gift_trigger,
         "total_units": F.coalesce(F.col("total_units").cast("int"), F.lit(0)),
-    }).drop("_has_gift", "gift_rate")
+    }).drop("has_gift", "gift_rate")
 
 
 def variable_table(df: DataFrame, run: RunParams) -> DataFrame:

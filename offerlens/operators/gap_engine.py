@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.functions.cycles import cycle_text
-from offerlens.functions.scoring import dbl, logistic, ratio
+from offerlens.functions.frames import spread_join
+from offerlens.functions.scoring import deviation, exact_squares, exact_sum, dbl, logistic, ratio
 from offerlens.operators.consolidate import RUN_COLUMNS, VARIABLE_COLUMNS
 from offerlens.params import (BUNDLE, HISTORY_CYCLES, SCORE_EXPONENT_CAP, SINGLE, RunParams)
 
@@ -61,49 +62,60 @@ def bundle_gap(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("offer_type") == BUNDLE).withColumn("sales_gap_mc", _gap_rule())
 
 
-def bundle_gap_from_peers(bundles: DataFrame, run: RunParams) -> DataFrame:
-    """A bundle gap of 0 takes the peers' mean potential minimum sale."""
+def bundle_potential(bundles: DataFrame, run: RunParams) -> DataFrame:
+    """Mean potential minimum sale per peer group and bundle."""
     keys = [*run.peer_keys, "offer_id"]
-    peers = (bundles.groupBy(*keys, "seller_id").agg(F.sum("min_sale_6c").alias("s"))
-             .groupBy(*keys).agg(ratio(F.sum("s"), F.count("seller_id")).alias("_potential")))
-    return (bundles.join(peers, keys, "left")
+    return (bundles.groupBy(*keys, "seller_id").agg(F.sum("min_sale_6c").alias("s"))
+            .groupBy(*keys).agg(ratio(F.sum("s"), F.count("seller_id")).alias("potential")))
+
+
+def bundle_gap_from_peers(bundles: DataFrame, potential: DataFrame, run: RunParams) -> DataFrame:
+    """A bundle gap of 0 takes the peers' mean potential minimum sale."""
+    return (spread_join(bundles, potential, [*run.peer_keys, "offer_id"], "left")
             .withColumn("sales_gap_mc",
                         F.when(F.col("sales_gap_mc") == 0,
-                               F.coalesce(F.col("_potential"), F.col("sales_gap_mc")))
+                               F.coalesce(F.col("potential"), F.col("sales_gap_mc")))
                         .otherwise(F.col("sales_gap_mc")))
             .select(*bundles.columns))
 
 
-def all_gaps(rows: DataFrame, run: RunParams) -> DataFrame:
+def all_gaps(rows: DataFrame, potential: DataFrame, run: RunParams) -> DataFrame:
     """Both offer types with their engine gap and 4-decimal copies."""
-    both = single_gap(rows).unionByName(bundle_gap_from_peers(bundle_gap(rows), run))
+    both = single_gap(rows).unionByName(bundle_gap_from_peers(bundle_gap(rows), potential, run))
     return both.withColumns({
         "sales_gap_round": F.round("sales_gap", 4),
         "optimal_price_round": F.round("optimal_price", 4),
         "sales_gap_mc_round": F.round("sales_gap_mc", 4)})
 
 
-def seller_mean_stats(rows: DataFrame, columns: list[str], where: Column) -> Column:
-    """Scalar struct of mean and deviation over the rows that satisfy ``where``.
+def seller_mean_stats(rows: DataFrame, valid: dict[str, Column]) -> DataFrame:
+    """One row with mean_c and sd_c of each column over the rows where its condition holds.
 
-    The mean divides by the number of distinct sellers, not of rows; both
-    figures are rounded to 4 before use.  The sums combine on the map side to
-    one row per task, and only seller ids are shuffled for the count.
+    The mean divides by the number of distinct sellers, not of rows; both figures are
+    rounded to 4 before use.  Rows are reduced to one per seller on the map side, in exact
+    sums, and sellers to one row: one pass for all columns, with the same result in
+    whatever order and partitions the rows come.
     """
-    picked = rows.where(where)
-    sums = picked.agg(F.struct(
-        *[F.sum(dbl(c)).alias(f"sum_{c}") for c in columns],
-        *[F.round(F.stddev_pop(dbl(c)), 4).alias(f"sd_{c}") for c in columns]).alias("s")).scalar()
-    sellers = picked.agg(F.count_distinct("seller_id").alias("n")).scalar()
-    return F.struct(sums.alias("s"), sellers.alias("n"))
-
-
-def _with_stats(rows: DataFrame, columns: list[str], where: Column) -> DataFrame:
-    df = rows.withColumn("_raw", seller_mean_stats(rows, columns, where))
-    return df.withColumns({
-        **{f"_mean_{c}": F.round(ratio(F.col(f"_raw.s.sum_{c}"), F.col("_raw.n")), 4)
-           for c in columns},
-        **{f"_sd_{c}": F.col(f"_raw.s.sd_{c}") for c in columns}}).drop("_raw")
+    aggregates = {}
+    for c, where in valid.items():
+        x = F.when(where, F.col(c))
+        aggregates |= {f"sum_{c}": exact_sum(x), f"squares_{c}": exact_squares(x), f"n_{c}": F.count(x),
+                       f"here_{c}": F.count_if(where)}
+    sellers = rows.groupBy("seller_id").agg(*[a.alias(k) for k, a in aggregates.items()])
+    out = []
+    for c in valid:
+        total, squares, n = (F.sum(f"{k}_{c}") for k in ("sum", "squares", "n"))
+        out += [F.round(ratio(total, F.count_if(F.col(f"here_{c}") > 0)), 4).alias(f"mean_{c}"),
+                deviation(total, squares, n).alias(f"sd_{c}")]
+    return sellers.agg(*out)
+
+
+def _with_stats(rows: DataFrame, valid: dict[str, Column]) -> DataFrame:
+    """The statistics as columns: one row by construction, so a scalar and not a join."""
+    stats = seller_mean_stats(rows, valid)
+    one = stats.select(F.struct(*stats.columns).alias("s")).scalar()
+    return (rows.withColumn("_stats", one)
+            .withColumns({f"_{c}": F.col(f"_stats.{c}") for c in stats.columns}).drop("_stats"))
 
 
 def _z(column: str, where: Column) -> Column:
@@ -115,17 +127,13 @@ def _z(column: str, where: Column) -> Column:
 
 def statistics(rows: DataFrame) -> DataFrame:
     """The run's means and deviations as one row (a report)."""
-    columns = list(Z_COLUMNS.values())
-    one = rows.where(F.col("sales_gap") >= 0)
-    n = F.count_distinct("seller_id")
-    return one.agg(*[F.round(ratio(F.sum(dbl(c)), n), 4).alias(f"mean_{c}") for c in columns],
-                   *[F.round(F.stddev_pop(dbl(c)), 4).alias(f"sd_{c}") for c in columns])
+    return seller_mean_stats(rows, {c: F.col("sales_gap") >= 0 for c in Z_COLUMNS.values()})
 
 
 def z_scores(rows: DataFrame) -> DataFrame:
     """Six standardised variables; 0 where the sales gap is negative."""
     valid = F.col("sales_gap") >= 0
-    df = _with_stats(rows, list(Z_COLUMNS.values()), valid)
+    df = _with_stats(rows, {c: valid for c in Z_COLUMNS.values()})
     df = df.withColumns({z: _z(c, valid) for z, c in Z_COLUMNS.items()})
     return df.select(*[c for c in rows.columns if c not in Z_COLUMNS], *Z_COLUMNS)
 
@@ -141,18 +149,10 @@ def opportunity(rows: DataFrame) -> DataFrame:
 
 def normalised_opportunity(rows: DataFrame) -> DataFrame:
     """Each opportunity standardised over its own rows with a gap of 0 or more."""
-    out = rows
-    for column, gap in (("opportunity", "sales_gap"), ("opportunity_mc", "sales_gap_mc")):
-        valid = F.col(gap) >= 0
-        out = out.withColumns({
-            f"_mean_{column}": F.round(ratio(
-                rows.where(valid).agg(F.sum(column).alias("s")).scalar(),
-                rows.where(valid).agg(F.count_distinct("seller_id").alias("n")).scalar()), 4),
-            f"_sd_{column}": rows.where(valid).agg(
-                F.round(F.stddev_pop(column), 4).alias("d")).scalar()})
-        out = (out.withColumn(f"{column}_z", _z(column, valid))
-               .drop(f"_mean_{column}", f"_sd_{column}"))
-    return out
+    valid = {"opportunity": F.col("sales_gap") >= 0, "opportunity_mc": F.col("sales_gap_mc") >= 0}
+    df = _with_stats(rows, valid).withColumns({f"{c}_z": _z(c, where) for c, where in valid.items()})
+    return df.select(*[c for c in rows.columns if c not in ("opportunity_z", "opportunity_mc_z")],
+                     "opportunity_z", "opportunity_mc_z")
 
 
 def scores(rows: DataFrame) -> DataFrame:

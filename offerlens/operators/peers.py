@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.functions.cycles import cycle_count, cycle_set
+from offerlens.functions.frames import spread_join
 from offerlens.functions.scoring import dbl, mean_of, ratio
 from offerlens.params import HISTORY_CYCLES, NEVER_BOUGHT_RECENCY, RunParams
 
@@ -27,7 +28,7 @@ def potential_sales(single_sales: DataFrame, geography: DataFrame, run: RunParam
     territory."""
     place = []
     if run.peer_grouping == 1:
-        single_sales = single_sales.join(geography.select("territory", "region_id"), "territory")
+        single_sales = spread_join(single_sales, geography.select("territory", "region_id"), ["territory"])
         place = ["region_id"]
     return (single_sales.groupBy(*place, "seller_id", *PRODUCT, "cycle", "invoice")
             .agg(F.sum("net").alias("potential")).where(F.col("potential") > 0))
@@ -147,13 +148,14 @@ def fill_single(grid: DataFrame, history: DataFrame, recent: DataFrame,
                        F.col("frequency").alias("_freq"), F.col("recency").alias("_rec"),
                        F.col("optimal_price").alias("_price"))
     r = recent.select(*on, F.col("min_sale").alias("_min"))
-    both = h.join(r, on, "full")        # short frames, so the grid joins once
     absent = F.col("flag_bought") == 0
 
     def peer(own: str, theirs: str) -> Column:
         return F.when(absent, F.coalesce(F.col(theirs), F.col(own))).otherwise(F.col(own))
 
-    return (grid.join(both, on, "left").withColumns({
+    # Two short frames of known size on one placement of the grid.
+    filled = spread_join(spread_join(grid, h, on, "left"), r, on, "left")
+    return (filled.withColumns({
         "repurchase_cycle": F.coalesce(dbl("_cycle"), F.col("repurchase_cycle")),
         "min_sale_6c": F.coalesce(F.col("_min"), F.col("min_sale_6c")),
         "frequency_24c": peer("frequency_24c", "_freq"),
@@ -172,7 +174,7 @@ def offer_averages(filled: DataFrame, run: RunParams) -> DataFrame:
 def fill_trigger(filled: DataFrame, averages: DataFrame, run: RunParams) -> DataFrame:
     on = [*run.peer_keys, "offer_id"]
     a = averages.select(*on, F.col("trigger_rate").alias("_trigger"))
-    return (filled.join(a, on, "left")
+    return (spread_join(filled, a, on, "left")
             .withColumn("trigger_rate",
                         F.when(F.col("flag_bought") == 0,
                                F.coalesce(F.col("_trigger"), F.col("trigger_rate")))
@@ -204,7 +206,7 @@ def fill_bundle(grid: DataFrame, peers: DataFrame, run: RunParams) -> DataFrame:
     on = [*run.peer_keys, *PRODUCT]
     p = peers.select(*on, dbl("repurchase_cycle").alias("_cycle"),
                      F.col("min_price").alias("_price"))
-    return (grid.join(p, on, "left").withColumns({
+    return (spread_join(grid, p, on, "left").withColumns({
         "repurchase_cycle": F.coalesce(F.col("_cycle"), F.col("repurchase_cycle")),
         "optimal_price": F.when(F.col("optimal_price") == 0,
                                 F.coalesce(F.col("_price"), F.col("optimal_price")))
@@ -292,7 +294,7 @@ def fill_bundle_offers(rolled: DataFrame, peers: DataFrame, run: RunParams) -> D
 
     recency = (F.col("recency_or_24") if run.peer_grouping == 1
                else if_zero("recency_24c", "recency_24c", "_recency_24c"))
-    return rolled.join(p, on, "left").withColumns({
+    return spread_join(rolled, p, on, "left").withColumns({
         "sales_gap": if_zero("sales_gap", "sales_gap", "_min_sale_6c"),
         "frequency_24c": if_zero("frequency_24c", "frequency_24c", "_frequency_24c"),
         "trigger_rate": if_zero("trigger_rate", "trigger_rate", "_trigger_rate"),
@@ -312,8 +314,8 @@ def bundle_peer_table(products: DataFrame, offers: DataFrame, run: RunParams) ->
 def bundle_price_gap(rolled: DataFrame, products: DataFrame) -> DataFrame:
     """List price of a bundle less its optimal price, from the products of the
     run: the optimal price repeats on every product row and counts once."""
-    return (rolled.select("seller_id", "offer_id", "optimal_price")
-            .join(products.select("offer_id", "product_id", "list_price"), "offer_id")
+    return (spread_join(rolled.select("seller_id", "offer_id", "optimal_price"),
+                        products.select("offer_id", "product_id", "list_price"), ["offer_id"])
             .groupBy("seller_id", "offer_id")
             .agg((F.sum("list_price").cast("double") - F.sum_distinct("optimal_price"))
                  .alias("price_gap")))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerlens.functions.cycles import cycle_text
+from offerlens.functions.frames import spread_join
 from offerlens.params import FINAL_OFFER_ORDER, TYPE_PRIORITY, RunParams
 
 PICKS = "array<struct<offer_id:string,probability:double,rank:int,type:string>>"
@@ -98,9 +99,9 @@ def top_offers(cands: DataFrame, plan: DataFrame) -> DataFrame:
 
 def proposals(cands: DataFrame, products: DataFrame) -> DataFrame:
     """Offers that are not top, with the products they hold."""
-    return (cands.where((F.col("probability") != 0) & (F.col("flag_top") == 0))
-            .select("seller_id", "offer_id", "probability")
-            .join(products.select("offer_id", "product_id", "brand", "category"), "offer_id"))
+    rest = cands.where((F.col("probability") != 0) & (F.col("flag_top") == 0))
+    return spread_join(rest.select("seller_id", "offer_id", "probability"),
+                       products.select("offer_id", "product_id", "brand", "category"), ["offer_id"])
 
 
 # ---- greedy slots ------------------------------------------------------------
@@ -157,16 +158,14 @@ def _free(sorted_cands: Column, forced: Column, capacity: Column) -> Column:
     return F.aggregate(sorted_cands, start, fill, lambda s: s.picks)
 
 
-def fill_slots(cands: DataFrame, products: DataFrame, forced: DataFrame,
-               plan: DataFrame) -> DataFrame:
-    """Forced slots, then free slots, then left-over slots.
+def fill_slots(cands: DataFrame, cards: DataFrame, plan: DataFrame) -> DataFrame:
+    """Forced slots, then free slots, then left-over slots, by the cards of the offers.
 
     Left over are the forced slots of a seller that no offer could fill: the
     free choice goes on until the seller has fixed + free offers.
     """
-    cards = offer_cards(products, forced)
     rest = cands.where((F.col("probability") != 0) & (F.col("flag_top") == 0))
-    packed = (rest.select("seller_id", "offer_id", "probability").join(cards, "offer_id")
+    packed = (spread_join(rest.select("seller_id", "offer_id", "probability"), cards, ["offer_id"])
               .groupBy("seller_id")
               .agg(F.sort_array(F.collect_list(F.struct(
                   (-F.col("probability")).alias("key"), "offer_id", "probability", "fits",
@@ -200,10 +199,10 @@ def estimated_totals(per_offer: DataFrame, totals: DataFrame, products: DataFram
     """Recommended sellers per offer product, gifts included."""
     described = (products.where(F.col("descr").isNotNull()).groupBy("product_id")
                  .agg(F.max("descr").alias("descr"), F.max("brand").alias("brand"),
-                      F.max("category").alias("category")))
+                      F.max("category").alias("category"), F.max("solo_type").alias("solo_type")))
     return (totals.select("product_id", "offer_type", "offer_id", "sales_code", "units", "price",
                           "parent").distinct()
             .join(described, "product_id").join(per_offer, "offer_id")
-            .groupBy("offer_type", "offer_id", "brand", "category", "product_id", "descr", "units")
+            .groupBy("offer_type", "offer_id", "brand", "category", "solo_type", "product_id", "descr", "units")
             .agg(F.sum("total_sellers").alias("total_sellers"))
             .withColumn("personalisation", F.lit(run.personalisation)))

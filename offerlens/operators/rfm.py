@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.functions.cycles import cycle_count, cycle_set
-from offerlens.functions.frames import seller_offer_grid
+from offerlens.functions.frames import seller_offer_grid, spread_join
 from offerlens.functions.scoring import dbl, ratio
 from offerlens.params import BUNDLE, HISTORY_CYCLES, SINGLE, RunParams
 
@@ -95,8 +95,7 @@ def listed_cycles(tagged: DataFrame, catalog: DataFrame, run: RunParams) -> Data
 
 def listed_and_ordered(history: DataFrame, listed: DataFrame, activity: DataFrame) -> DataFrame:
     """Cycles in which the product was listed and the seller ordered."""
-    return (history.select(*KEYS, "enough_orders")
-            .join(listed, "product_id")
+    return (spread_join(history.select(*KEYS, "enough_orders"), listed, ["product_id"])
             .join(activity.select("seller_id", "order_cycles"), "seller_id")
             .select(*KEYS, "enough_orders",
                     cycle_count(F.col("listed").bitwiseAND(F.col("order_cycles")))
@@ -194,7 +193,7 @@ def bundle_cycles(cycles: DataFrame, sizes: DataFrame) -> DataFrame:
             .agg(F.sum("net").alias("net"), F.count("product_id").alias("bought"),
                  F.sum("enough").alias("enough"))
             .where(F.col("net") > 0)
-            .join(sizes.select("offer_id", "n_products"), "offer_id")
+            .transform(spread_join, sizes.select("offer_id", "n_products"), ["offer_id"])
             .select("seller_id", "offer_id", "cycle", "net",
                     (F.col("bought") == F.col("n_products")).alias("complete"),
                     (F.col("enough") == F.col("n_products")).alias("enough_complete")))
@@ -229,7 +228,7 @@ def bundle_listed_cycles(items: DataFrame, sizes: DataFrame, catalog: DataFrame,
 
 def bundle_listed_and_ordered(history: DataFrame, listed: DataFrame,
                               activity: DataFrame) -> DataFrame:
-    return (history.select("seller_id", "offer_id", "enough_orders").join(listed, "offer_id")
+    return (spread_join(history.select("seller_id", "offer_id", "enough_orders"), listed, ["offer_id"])
             .join(activity.select("seller_id", "order_cycles"), "seller_id")
             .select("seller_id", "offer_id", "enough_orders",
                     cycle_count(F.col("listed").bitwiseAND(F.col("order_cycles")))

@@ -56,3 +56,16 @@ def slot_counts(rows: DataFrame) -> DataFrame:
 def all_products(rows: DataFrame) -> DataFrame:
     """Offer rows including gifts, for estimates."""
     return rows.select(*TOTAL_COLUMNS).distinct()
+
+
+def run_profiles(profiles: DataFrame, run: RunParams) -> DataFrame:
+    """Peer profiles that hold for the run: those of its country and process cycle.  The
+    rows of other runs go before any join, so that no seller is there twice."""
+    return (profiles.where((F.col("country") == run.country)
+                           & (F.col("process_cycle") == cycle_text(run.process_cycle)))
+            .select("seller_id", "profile"))
+
+
+def run_geography(geography: DataFrame, run: RunParams) -> DataFrame:
+    """Zones and regions of the territories as they are in the process cycle."""
+    return geography.where(F.col("cycle") == run.process_cycle).drop("cycle")

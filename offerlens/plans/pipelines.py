@@ -31,9 +31,10 @@ PROBABILITY_SCHEMA = ("seller_id bigint, offer_id string, flag_top int, probabil
                       "personalisation string, profile string, engine int")
 
 
-def _logged(log: RunLog, repository: Repository, step: Callable[[], DataFrame]) -> DataFrame:
+def _logged(log: RunLog, repository: Repository, name: str, step: Callable[[], DataFrame]) -> DataFrame:
     """Run a step; success and failure both end up in the run log."""
     tune(repository.spark)
+    log.step = name
     try:
         result = step()
         log.ok("run complete")
@@ -81,7 +82,7 @@ def build_scores(tables, run: RunParams, repository: Repository, log: RunLog) ->
             repository.save(_peer_rows(table, run, kind), "peer_groups", PEER_PARTITIONS)
         return repository.save(w.variables, "variables", VARIABLE_PARTITIONS)
 
-    return _logged(log, repository, step)
+    return _logged(log, repository, "scores", step)
 
 
 def _peer_rows(table: DataFrame, run: RunParams, offer_type: str) -> DataFrame:
@@ -107,7 +108,7 @@ def apply_gap_engine(tables, run: RunParams, repository: Repository, log: RunLog
 
     if run.kind != ESTABLISHED:
         return repository.read("probabilities", PROBABILITY_SCHEMA)
-    return _logged(log, repository, step)
+    return _logged(log, repository, "gap_engine", step)
 
 
 def apply_ranking_rules(tables, run: RunParams, repository: Repository, log: RunLog) -> DataFrame:
@@ -130,4 +131,4 @@ def apply_ranking_rules(tables, run: RunParams, repository: Repository, log: Run
             tables.start_days, run)
         return repository.save(rows, "daily_offers")
 
-    return _logged(log, repository, step)
+    return _logged(log, repository, "ranking_rules", step)

@@ -21,12 +21,12 @@ from offerlens.operators import (base as B, consolidate as C, daily as D, gap_en
                                  selection as L, validation as V)
 from offerlens.params import (BUNDLE, DAILY_OFFER, ESTIMATION, NEW, SINGLE, RunParams)
 from offerlens.plans.workspace import HISTORY_FRAMES, PEER_FRAMES, Workspace
-from offerlens.sources.repository import Repository
+from offerlens.sources.export import write_file, write_tables
+from offerlens.sources.repository import Repository, RunLog
 from offerlens.sources.session import tune
 from offerlens.sources.staging import new_stage_path
 from offerlens.sources.star import StarTables
-from offerlens.sources.warehouse import (OFFER_FILE_NAMES, PARAMETER_FILES, ParameterFiles,
-                                         source_table)
+from offerlens.sources.warehouse import ParameterFiles, WarehouseTables, source_table
 
 ESTABLISHED_RUN = RunParams(process_cycle=36027, target_cycle=36028)
 NEW_RUN = RunParams(process_cycle=35939, target_cycle=35940, kind=NEW,
@@ -75,6 +75,11 @@ class Context:
     def profiled(self) -> Workspace:
         return self._lazy("_b", lambda: self.e.sibling(("sellers",), profile="2"))
 
+    @property
+    def warehouse(self) -> Workspace:
+        """The established run from warehouse tables and parameter files."""
+        return self._lazy("_w", lambda: Workspace(_as_warehouse(self), ESTABLISHED_RUN))
+
     @property
     def new_showroom(self) -> Workspace:
         return self._lazy("_s", lambda: self.n.sibling(
@@ -136,12 +141,12 @@ _q("cycle_delta", "seller_id:l distance:i later:i", lambda c: c.t.sellers().sele
     cyc.cycle_distance("enrol_cycle", F.lit(NEW_RUN.process_cycle)).alias("distance"),
     (F.col("enrol_cycle") > NEW_RUN.process_cycle).cast("int").alias("later")))
 _q("update_from", "seller_id:l profile:i", lambda c: update_from(
-    c.t.sellers().select("seller_id", F.lit(-1).alias("profile")), c.t.profiles(),
+    c.t.sellers().select("seller_id", F.lit(-1).alias("profile")), c.e.profiles,
     ["seller_id"], ["profile"]))
 _q("delete_matching", "seller_id:l enrol_cycle:i",
-   lambda c: delete_matching(c.t.sellers(), c.t.profiles(), ["seller_id"]))
+   lambda c: delete_matching(c.t.sellers(), c.e.profiles, ["seller_id"]))
 _q("except_rows", "seller_id:l", lambda c: c.t.sellers().select("seller_id").subtract(
-    c.t.profiles().where(F.col("profile") == 2).select("seller_id")))
+    c.e.profiles.where(F.col("profile") == 2).select("seller_id")))
 
 # ---- sources -------------------------------------------------------------------
 _q("source_sales", "seller_id:l cycle:i n_lines:l units:l net:d", lambda c: c.t.sales()
@@ -188,9 +193,9 @@ _q("validation_report_estimation", "message:s", lambda c: V.validation_report(
 BASE = ("seller_id:l region_id:i region:s zone:s segment:s process_cycle:s profile:s seniority:i "
         "kind:s")
 _q("base_new", "seller_id:l", lambda c: B.new_sellers(
-    c.n.recent_status, c.t.sellers(), c.t.profiles(), NEW_RUN))
+    c.n.recent_status, c.t.sellers(), c.n.profiles, NEW_RUN))
 _q("base_new_all", "seller_id:l", lambda c: B.new_sellers(
-    c.n.recent_status, c.t.sellers(), c.t.profiles(), NEW_RUN.with_(personalisation="OPT")))
+    c.n.recent_status, c.t.sellers(), c.n.profiles, NEW_RUN.with_(personalisation="OPT")))
 _q("base_ordering", "seller_id:l net_sales:d", lambda c: B.ordering_sellers(
     c.t.sales(36025, 36027), c.e.kinds, ESTABLISHED_RUN))
 _q("base_fifth_sixth", "seller_id:l", lambda c: B.fifth_sixth_sellers(
@@ -352,6 +357,7 @@ _q("rfm_consolidated_profile", RFM, lambda c: c.by_profile.variables)
 # ---- gap engine ----------------------------------------------------------------
 _q("gap_single", SO + "sales_gap_mc:r", lambda c: M.single_gap(c.e.run_variables))
 _q("gap_bundle", SO + "sales_gap_mc:r", lambda c: M.bundle_gap(c.e.run_variables))
+_q("run_variables", RFM + " peer_profile:i", lambda c: c.e.run_variables)
 _q("gap_all", SO + "sales_gap_mc:r sales_gap_round:d optimal_price_round:d sales_gap_mc_round:d",
    lambda c: c.e.gaps)
 _q("gap_all_profile", SO + "sales_gap_mc:r", lambda c: c.by_profile.gaps)
@@ -393,7 +399,7 @@ _q("final_order", FINAL, lambda c: c.e.final_order)
 _q("final_order_engine", FINAL, lambda c: c.engine.final_order)
 _q("final_order_new", FINAL, lambda c: c.new_showroom.final_order)
 _q("sellers_per_offer", "offer_id:s total_sellers:l", lambda c: T.sellers_per_offer(c.e.final_order))
-_q("estimated_totals", "offer_type:s offer_id:s brand:s category:s product_id:s descr:s units:i "
+_q("estimated_totals", "offer_type:s offer_id:s brand:s category:s solo_type:s product_id:s descr:s units:i "
    "total_sellers:l personalisation:s", lambda c: c.e.estimates)
 
 # ---- daily offer ---------------------------------------------------------------
@@ -439,12 +445,8 @@ def _cycle_totals(c: Context) -> DataFrame:
 
 def _parameter_csv(c: Context) -> DataFrame:
     """Offer parameters through a header CSV and back, typed, one country."""
-    folder = new_stage_path(c.spark, "csv")
-    names = {v: k for k, v in OFFER_FILE_NAMES.items()}
-    rows, files = c.t.offer_parameters(), ParameterFiles(c.spark, folder, "C1")
-    order = [f.split()[0] for f in PARAMETER_FILES["offers"].split(", ")]
-    (rows.withColumnsRenamed({k: v for k, v in names.items() if k in rows.columns})
-     .select(*order).write.option("header", True).csv(files.path("offers")))
+    files = ParameterFiles(c.spark, new_stage_path(c.spark, "csv"), "C1")
+    write_file(c.t.offer_parameters(), "offers", files.path("offers"))
     return files.get("offers")
 
 
@@ -483,13 +485,96 @@ def _source_table(c: Context) -> DataFrame:
     return source_table(c.spark, "", view, "C1")
 
 
+def _run_log(c: Context) -> DataFrame:
+    """A run that logs, fails, and is tried again under its id: one set of rows stays."""
+    repo, table = _store(c)
+    counts = (c.t.status(ESTABLISHED_RUN.recent_start, ESTABLISHED_RUN.process_cycle, sellers=c.e.sellers)
+              .groupBy("cycle").agg(F.sum("flag_order").alias("n")).collect())     # a row per cycle of the window
+    for attempt in range(2):
+        log = RunLog("run-1", ESTABLISHED_RUN, "status")
+        for r in counts[:len(counts) if attempt else 2]:
+            log.ok(f"{cyc.cycle_text(r['cycle'])}: {r['n']} sellers with orders")
+        if not attempt:
+            log.error("run failed")
+        log.flush(repo, table)
+    other = RunLog("run-2", ESTABLISHED_RUN, "status")
+    other.ok("another run")
+    stored = other.flush(repo, table)
+    return stored.select("run_id", "step", "country", "process_cycle", "target_cycle", "kind", "message", "status")
+
+
+def _optional_table(c: Context) -> DataFrame:
+    """A stored table that is absent, empty, or has drifted, read under one schema."""
+    repo, table = _store(c)
+    columns = "seller_id bigint, enrol_cycle int, profile int"
+    whole = c.t.sellers().join(c.e.profiles, "seller_id", "left")
+    repo.save(whole.limit(0), f"{table}_empty")
+    repo.save(whole.select(F.lit("x").alias("extra"), F.col("enrol_cycle").cast("bigint").alias("ENROL_CYCLE"),
+                           F.col("seller_id").cast("string").alias("seller_id")), f"{table}_drifted")
+    repo.save(whole, f"{table}_whole")
+    out = None
+    for state in ("absent", "empty", "drifted", "whole"):
+        df = repo.read(f"{table}_{state}", columns).withColumn("state", F.lit(state))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def _faulty_lines(parameters: DataFrame) -> DataFrame:
+    """Offer lines with a text where a number belongs, or with a comma too many."""
+    bad = F.col("profile") == "2"
+    extra = (F.col("kind") == "N") & (F.col("flag_top") == 1)
+    faulty = parameters.where(bad | extra).withColumns({
+        "units": F.when(bad, F.concat(F.lit("x"), F.col("units").cast("string"))).otherwise(F.col("units").cast("string")),
+        "product_id": F.when(extra, F.concat("product_id", F.lit(",?"))).otherwise(F.col("product_id"))})
+    return parameters.withColumn("units", F.col("units").cast("string")).unionByName(faulty)
+
+
+def _as_warehouse(c: Context) -> WarehouseTables:
+    """The given tables under their original names, beside a second country, with
+    parameter files that hold faulty lines."""
+    folder, run = new_stage_path(c.spark, "warehouse"), ESTABLISHED_RUN
+    schema = f"offerlens_{folder.rsplit('-', 1)[1]}"
+    write_tables(c.spark, c.t, schema, folder, run.start, run.process_cycle, ["C1", "C2"])
+    files = ParameterFiles(c.spark, f"{folder}/files", "C1", {"offers": "parameters.csv"})
+    for name, df in {"offers": _faulty_lines(c.t.offer_parameters()), "offers_estimation": c.t.estimation_parameters(),
+                     "forced_slots": c.t.forced_slots, "forced_slots_estimation": c.t.forced_slots_estimation,
+                     "profiles": c.t.profiles(), "start_days": c.t.start_days}.items():
+        write_file(df, name, files.path(name))
+    return WarehouseTables(c.spark, schema, "C1", files, configured_days=True)
+
+
 PARAMETERS = ("country:s process_cycle:s target_cycle:s kind:s personalisation:s profile:s " + OFFER
               + " slots:i top_slots:i")
+SLOTS = ("country:s process_cycle:s target_cycle:s kind:s personalisation:s profile:s brand:s category:s "
+         "forced_kind:i slot:i")
 _q("io_parameter_csv", PARAMETERS, _parameter_csv)
 _q("io_source_table", "seller_id:l enrol_cycle:i", _source_table)
 _q("io_full_overwrite", "seller_id:l enrol_cycle:i", _full_overwrite)
 _q("io_partition_overwrite", "seller_id:l cycle:i net:d", _partition_overwrite)
 _q("io_self_overwrite", "seller_id:l cycle:i net:d", _self_overwrite)
+_q("io_run_log", "run_id:s step:s country:s process_cycle:s target_cycle:s kind:s message:s status:i", _run_log)
+_q("io_optional_table", "state:s seller_id:l enrol_cycle:i profile:i", _optional_table)
+
+# ---- the same from warehouse tables and parameter files ------------------------
+_q("warehouse_sales", "cycle:i ref_cycle:i seller_id:l item_id:l offer_kind:s territory:i invoice:l sales_code:s units:i net:d",
+   lambda c: c.warehouse.tables.sales(ESTABLISHED_RUN.start, ESTABLISHED_RUN.process_cycle))
+_q("warehouse_status", "seller_id:l cycle:i territory:i segment:s flag_order:i flag_active:i channel:s behaviour:s",
+   lambda c: c.warehouse.tables.status(ESTABLISHED_RUN.recent_start, ESTABLISHED_RUN.process_cycle))
+_q("warehouse_catalog", "cycle:i item_id:l offer_kind:s sales_code:s price:d normal_price:d vehicle:s",
+   lambda c: c.warehouse.tables.catalog())
+_q("warehouse_sellers", "seller_id:l enrol_cycle:i", lambda c: c.warehouse.tables.sellers())
+_q("warehouse_products", "product_id:s item_id:l descr:s brand:s category:s solo_type:s",
+   lambda c: c.warehouse.tables.products())
+_q("warehouse_geography", "territory:i zone:s region_id:i region:s", lambda c: c.warehouse.geography)
+_q("warehouse_base", "seller_id:l region_id:i region:s zone:s segment:s process_cycle:s profile:s seniority:i kind:s",
+   lambda c: c.warehouse.base_all)
+_q("parameter_offers", PARAMETERS, lambda c: c.warehouse.tables.offer_parameters())
+_q("parameter_offers_estimation", PARAMETERS, lambda c: c.warehouse.tables.estimation_parameters())
+_q("parameter_forced_slots", SLOTS, lambda c: c.warehouse.tables.forced_slots)
+_q("parameter_forced_slots_estimation", SLOTS, lambda c: c.warehouse.tables.forced_slots_estimation)
+_q("parameter_profiles", "seller_id:l profile:i", lambda c: c.warehouse.profiles)
+_q("parameter_rejected", "file:s line:s reason:s", lambda c: c.warehouse.tables.files.rejected())
+_q("warehouse_final_order", FINAL, lambda c: c.warehouse.final_order)
 
 
 # ---- contexts ------------------------------------------------------------------

@@ -2,7 +2,8 @@
 
 ``Workspace`` names the frames of one (tables, run) pair.  Frames marked
 ``@staged`` are written as stage tables and read back, because several later
-steps read them; the others stay lazy and are planned into their readers.
+steps read them, or because they are short frames that large ones are joined with
+and whose size Spark should know; the others stay lazy and are planned into their readers.
 """
 
 from __future__ import annotations
@@ -75,6 +76,14 @@ class Workspace:
     def kinds(self) -> DataFrame:
         return self.tables.offer_kinds()
 
+    @cached_property
+    def profiles(self) -> DataFrame:
+        return selection.run_profiles(self.tables.profiles(), self.run)
+
+    @cached_property
+    def geography(self) -> DataFrame:
+        return selection.run_geography(self.tables.geography(), self.run)
+
     @staged
     def items(self) -> DataFrame:
         return sales_ops.offer_items(self.offers, self.products)
@@ -109,7 +118,7 @@ class Workspace:
     def base_all(self) -> DataFrame:
         t, p = self.tables, self.run.process_cycle
         return base_ops.seller_base(t.sales(p - 2, p), self.recent_status, self.sellers, self.kinds,
-                                    t.geography(), t.profiles(), self.run)
+                                    self.geography, self.profiles, self.run)
 
     @cached_property
     def base(self) -> DataFrame:
@@ -117,7 +126,7 @@ class Workspace:
 
     @cached_property
     def base_with_profile(self) -> DataFrame:
-        return base_ops.with_peer_profile(self.base, self.tables.profiles())
+        return base_ops.with_peer_profile(self.base, self.profiles)
 
     # ---- history, established sellers ---------------------------------------
     @staged
@@ -177,7 +186,7 @@ class Workspace:
     def single_history(self) -> DataFrame:
         return rfm.of_type(self.product_history, SINGLE)
 
-    @cached_property
+    @staged
     def listed(self) -> DataFrame:
         return rfm.listed_cycles(self.single_sales, self.catalog, self.run)
 
@@ -214,7 +223,7 @@ class Workspace:
     def bundle_products(self) -> DataFrame:
         return rfm.grid_products(self.items, BUNDLE)
 
-    @cached_property
+    @staged
     def bundle_sizes(self) -> DataFrame:
         return rfm.bundle_sizes(self.bundle_products)
 
@@ -230,7 +239,7 @@ class Workspace:
     def bundle_history(self) -> DataFrame:
         return rfm.bundle_history(self.bundle_cycles, self.run)
 
-    @cached_property
+    @staged
     def bundle_listed(self) -> DataFrame:
         return rfm.bundle_listed_cycles(self.items, self.bundle_sizes, self.catalog, self.run)
 
@@ -266,7 +275,7 @@ class Workspace:
 
     @cached_property
     def potential(self) -> DataFrame:
-        return peers.potential_sales(self.single_sales, self.tables.geography(), self.run)
+        return peers.potential_sales(self.single_sales, self.geography, self.run)
 
     @cached_property
     def seller_traits(self) -> DataFrame:
@@ -276,11 +285,11 @@ class Workspace:
     def peer_sellers(self) -> DataFrame:
         return peers.peer_sellers(self.potential, self.seller_traits, self.run)
 
-    @cached_property
+    @staged
     def recent_peers(self) -> DataFrame:
         return peers.recent_peers(self.peer_sellers, self.group_sizes, self.run)
 
-    @cached_property
+    @staged
     def history_peers(self) -> DataFrame:
         return peers.history_peers(self.peer_sellers, self.optimal_prices,
                                    rfm.minimum_prices(self.single_prices), self.group_sizes,
@@ -290,7 +299,7 @@ class Workspace:
     def single_filled(self) -> DataFrame:
         return peers.fill_single(self.single_grid, self.history_peers, self.recent_peers, self.run)
 
-    @cached_property
+    @staged
     def offer_averages(self) -> DataFrame:
         return peers.offer_averages(self.single_filled, self.run)
 
@@ -298,7 +307,7 @@ class Workspace:
     def single_complete(self) -> DataFrame:
         return peers.fill_trigger(self.single_filled, self.offer_averages, self.run)
 
-    @cached_property
+    @staged
     def bundle_product_peers(self) -> DataFrame:
         return peers.bundle_product_peers(self.bundle_grid, self.run)
 
@@ -311,7 +320,7 @@ class Workspace:
     def bundle_rolled(self) -> DataFrame:
         return peers.roll_up_bundle(self.bundle_flagged, self.run)
 
-    @cached_property
+    @staged
     def bundle_offer_peers(self) -> DataFrame:
         return peers.bundle_offer_peers(self.bundle_rolled, self.run)
 
@@ -334,6 +343,10 @@ class Workspace:
                                        self.tables.normal_prices(self.gift_items), self.kinds,
                                        self.units)
 
+    @staged
+    def offer_extras(self) -> DataFrame:
+        return consolidate.offer_extras(self.gift_values, self.gifts, self.units)
+
     @cached_property
     def gift_orders(self) -> DataFrame:
         r = self.run
@@ -347,9 +360,8 @@ class Workspace:
 
     @cached_property
     def consolidated(self) -> DataFrame:
-        return consolidate.consolidate(
-            consolidate.roll_up_single(self.single_gaps), self.bundle_complete, self.gift_values,
-            self.gifts, self.gift_triggers, self.units)
+        return consolidate.consolidate(consolidate.roll_up_single(self.single_gaps), self.bundle_complete,
+                                       self.offer_extras, self.gift_triggers)
 
     @staged
     def variables(self) -> DataFrame:
@@ -358,11 +370,15 @@ class Workspace:
     # ---- gap engine ----------------------------------------------------------
     @cached_property
     def run_variables(self) -> DataFrame:
-        return gap_engine.run_variables(self.variables, self.tables.profiles(), self.run)
+        return gap_engine.run_variables(self.variables, self.profiles, self.run)
+
+    @staged
+    def bundle_potential(self) -> DataFrame:
+        return gap_engine.bundle_potential(gap_engine.bundle_gap(self.run_variables), self.run)
 
     @staged
     def gaps(self) -> DataFrame:
-        return gap_engine.all_gaps(self.run_variables, self.run)
+        return gap_engine.all_gaps(self.run_variables, self.bundle_potential, self.run)
 
     @staged
     def opportunities(self) -> DataFrame:
@@ -451,10 +467,13 @@ class Workspace:
     def top_offers(self) -> DataFrame:
         return ranking.top_offers(self.showroom_candidates, self.slot_plan)
 
+    @staged
+    def offer_cards(self) -> DataFrame:
+        return ranking.offer_cards(self.offer_products, self.forced)
+
     @cached_property
     def slot_choices(self) -> DataFrame:
-        return ranking.fill_slots(self.showroom_candidates, self.offer_products, self.forced,
-                                  self.slot_plan)
+        return ranking.fill_slots(self.showroom_candidates, self.offer_cards, self.slot_plan)
 
     @staged
     def final_order(self) -> DataFrame:

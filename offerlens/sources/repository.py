@@ -1,4 +1,4 @@
-"""Result tables: overwrite, partition overwrite, self overwrite, run log."""
+"""Result tables: overwrite, partition overwrite, self overwrite, optional read, run log."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import datetime as dt
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from offerlens.functions.cycles import cycle_text
 from offerlens.params import RunParams
@@ -13,7 +14,7 @@ from offerlens.sources.staging import cut
 
 LOG_SCHEMA = ("country string, process_cycle string, target_cycle string, kind string, load int, "
               "engine int, profile string, peer_grouping int, personalisation string, "
-              "run_id string, message string, logged_at timestamp, status boolean")
+              "message string, logged_at timestamp, status boolean, run_id string, step string")
 
 
 @contextmanager
@@ -42,10 +43,19 @@ class Repository:
         return f"{self.schema}.{table}"
 
     def read(self, table: str, columns: str) -> DataFrame:
-        """The table, or an empty frame of the given columns when it is missing."""
-        if self.spark.catalog.tableExists(self.name(table)):
-            return self.spark.table(self.name(table))
-        return self.spark.createDataFrame([], columns)
+        """The given columns of a table, which may be missing or have drifted.
+
+        A missing table has no rows.  Columns are found by name, without regard to case or
+        order; one that the table lacks is null, one of another type is cast (null where a
+        value cannot be), and what the table has beyond them is left out.
+        """
+        if not self.spark.catalog.tableExists(self.name(table)):
+            return self.spark.createDataFrame([], columns)
+        df, wanted = self.spark.table(self.name(table)), self.spark.createDataFrame([], columns).schema
+        have = {c.lower(): c for c in df.columns}
+        return df.select(*[
+            (F.col(f"`{have[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in have else F.lit(None).cast(f.dataType))
+            .alias(f.name) for f in wanted])
 
     def _writer(self, df: DataFrame, table: str, mode: str):
         writer = df.write.mode(mode).format("parquet")
@@ -85,18 +95,23 @@ class Repository:
 
 
 class RunLog:
-    """Log entries of one run, appended as one file at the end of the run."""
+    """Log entries of one step of a run, stored as one file at its end.
+
+    The log table is partitioned by run and step, and a step replaces what it stored
+    before: a run that failed and is tried again under its id leaves one set of rows, and
+    a retried write leaves no row twice.
+    """
 
-    def __init__(self, run_id: str, run: RunParams):
-        self.run_id, self.run = run_id, run
+    def __init__(self, run_id: str, run: RunParams, step: str = "run"):
+        self.run_id, self.run, self.step = run_id, run, step
         self._entries: list[tuple] = []
 
     def _push(self, message: str, status: bool) -> None:
         r = self.run
         self._entries.append((
             r.country, cycle_text(r.process_cycle), cycle_text(r.target_cycle), r.kind, r.load,
-            r.engine, r.profile, r.peer_grouping, r.personalisation, self.run_id, message,
-            dt.datetime.now(), status))
+            r.engine, r.profile, r.peer_grouping, r.personalisation, message,
+            dt.datetime.now(), status, self.run_id, self.step))
 
     def ok(self, message: str) -> None:
         self._push(message, True)
@@ -105,7 +120,6 @@ class RunLog:
         self._push(message, False)
 
     def flush(self, repository: Repository, table: str) -> DataFrame:
+        """Store all entries so far; they are kept, so a later flush holds them too."""
         df = repository.spark.createDataFrame(self._entries, LOG_SCHEMA).coalesce(1)
-        repository._writer(df, table, "append").saveAsTable(repository.name(table))
-        self._entries.clear()
-        return repository.spark.table(repository.name(table))
+        return repository.save(df, table, ["run_id", "step"])

@@ -1,9 +1,9 @@
 """Business tables derived from the star schema of orders and line items.
 
 Each method returns one business table (sales, catalogue, seller status, ...)
-as a lazy DataFrame.  Methods that cover history take a cycle range and turn it
-into a date range on ``orders``, so a 24-cycle run reads 24 cycles of files and
-not the whole history.
+as a lazy DataFrame.  Methods that cover history take a cycle range.  On ``orders``
+it becomes a date range; sales and prices come from a store by cycle (see
+:mod:`offerlens.sources.facts`), for which the lines are read once.
 """
 
 from __future__ import annotations
@@ -11,19 +11,19 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerlens.functions.cycles import cycle_of_date, in_cycles
 from offerlens.params import RECENT_CYCLES
-
-MONEY = "decimal(18,2)"
+from offerlens.sources.facts import MONEY, FactStore
 
 
 @dataclass
 class StarTables:
     spark: SparkSession
     folder: str
+    fact_folder: str | None = None     # where sales by cycle are kept between runs
 
     _open: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -45,71 +45,68 @@ class StarTables:
         return (o.where(in_cycles(F.col("o_orderdate"), lo, hi, date_type))
                 .withColumn("cycle", cycle_of_date("o_orderdate")))
 
-    def sales(self, lo: int | None = None, hi: int | None = None,
-              only: DataFrame | None = None) -> DataFrame:
-        """One row per sold line, of some sellers when ``only`` is given.
+    def _lines(self, lo: int | None = None, hi: int | None = None) -> DataFrame:
+        """One row per sold line with all that later reads need of it.
 
-        Everything about the seller is settled at order level, before the lines
-        join: those rows are fewer and narrower, and lines are then shuffled by
-        order and by item, never by a seller who may hold a third of them.
+        Everything about the seller is settled at order level, before the lines join:
+        those rows are fewer and narrower.
         """
         places = self.raw("customer").select(F.col("c_custkey").alias("seller_id"),
-                                             F.col("c_nationkey").alias("territory"))
-        if only is not None:
-            places = places.join(only.select("seller_id"), "seller_id", "left_semi")
+                                             F.col("c_nationkey").cast("int").alias("territory"),
+                                             F.lit(True).alias("known_seller"))
         heads = (self.orders(lo, hi)
                  .select("o_orderkey", F.col("o_custkey").alias("seller_id"), "cycle")
-                 .join(places, "seller_id"))
+                 .join(places, "seller_id", "left"))
         lines = self.raw("lineitem").select(
             F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("item_id"),
             F.col("l_returnflag").alias("offer_kind"), "l_tax", "l_discount",
             "l_quantity", "l_extendedprice")
-        items = self.raw("part").select(
-            F.col("p_partkey").alias("item_id"),
-            F.concat(F.lit("V-"), "p_brand").alias("sales_code"))
-        return (lines.join(heads, "o_orderkey").join(items, "item_id")
-                .select("cycle",
-                        (F.col("cycle") - F.when(F.col("l_tax") == 0.08, 1).otherwise(0))
+        return (lines.join(heads, "o_orderkey").join(self._items().select("item_id", "sales_code"), "item_id")
+                .select((F.col("cycle") - F.when(F.col("l_tax") == 0.08, 1).otherwise(0))
                         .alias("ref_cycle"),
                         "seller_id", "item_id", "offer_kind", "territory",
                         F.col("o_orderkey").alias("invoice"), "sales_code",
                         F.col("l_quantity").cast("int").alias("units"),
                         F.when(F.col("l_discount") == 0.1, F.lit(0).cast(MONEY))
-                        .otherwise(F.col("l_extendedprice").cast(MONEY)).alias("net")))
+                        .otherwise(F.col("l_extendedprice").cast(MONEY)).alias("net"),
+                        (F.col("l_extendedprice") / F.col("l_quantity")).cast("double").alias("unit_price"),
+                        F.coalesce("known_seller", F.lit(False)).alias("known_seller"), "cycle"))
+
+    def _items(self) -> DataFrame:
+        return self.raw("part").select(
+            F.col("p_partkey").alias("item_id"),
+            F.concat(F.lit("V-"), "p_brand").alias("sales_code"),
+            F.col("p_retailprice").cast(MONEY).alias("normal_price"),
+            F.when(F.col("p_partkey") % 3 == 0, "REVISTA")
+            .when(F.col("p_partkey") % 3 == 1, "CATALOGO")
+            .otherwise("OTRO").alias("vehicle"))
+
+    @cached_property
+    def facts(self) -> FactStore:
+        return FactStore(self.spark, self._lines, self._items, self.fact_folder)
+
+    def sales(self, lo: int | None = None, hi: int | None = None,
+              only: DataFrame | None = None) -> DataFrame:
+        """One row per sold line, of some sellers when ``only`` is given."""
+        rows = self.facts.sales(lo, hi).where("known_seller")
+        if only is not None:
+            rows = rows.join(only.select("seller_id"), "seller_id", "left_semi")
+        return rows.select("cycle", "ref_cycle", "seller_id", "item_id", "offer_kind", "territory",
+                           "invoice", "sales_code", "units", "net")
 
     def catalog(self, lo: int | None = None, hi: int | None = None,
                 only: DataFrame | None = None) -> DataFrame:
         """Price list: item, cycle, offer kind and sales code with its price, of
         some items when ``only`` is given."""
-        lines = self.raw("lineitem").select(
-            F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("item_id"),
-            F.col("l_returnflag").alias("offer_kind"),
-            (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"))
+        prices = self.facts.prices(lo, hi)
         if only is not None:
-            lines = lines.join(only.select("item_id").distinct(), "item_id", "left_semi")
-        prices = (lines.join(self.orders(lo, hi).select("o_orderkey", "cycle"), "o_orderkey")
-                  .groupBy("cycle", "item_id", "offer_kind")
-                  .agg(F.min("unit_price").alias("unit_price")))
-        items = self.raw("part").select(
-            F.col("p_partkey").alias("item_id"),
-            F.concat(F.lit("V-"), "p_brand").alias("sales_code"),
-            F.col("p_retailprice").cast(MONEY).alias("normal_price"))
-        return (prices.join(items, "item_id")
-                .select("cycle", "item_id", "offer_kind", "sales_code",
-                        (F.floor(F.col("unit_price") / 100) * 100).cast(MONEY).alias("price"),
-                        "normal_price",
-                        F.when(F.col("item_id") % 3 == 0, "REVISTA")
-                        .when(F.col("item_id") % 3 == 1, "CATALOGO")
-                        .otherwise("OTRO").alias("vehicle")))
+            prices = prices.join(only.select("item_id").distinct(), "item_id", "left_semi")
+        return prices.select("cycle", "item_id", "offer_kind", "sales_code", "price", "normal_price", "vehicle")
 
     def normal_prices(self, only: DataFrame) -> DataFrame:
         """Item, offer kind and normal price of some items, in whatever cycle sold."""
-        sold = (self.raw("lineitem").select(F.col("l_partkey").alias("item_id"),
-                                            F.col("l_returnflag").alias("offer_kind"))
-                .join(only.select("item_id").distinct(), "item_id", "left_semi").distinct())
-        items = self.raw("part").select(F.col("p_partkey").alias("item_id"),
-                                        F.col("p_retailprice").cast(MONEY).alias("normal_price"))
-        return sold.join(items, "item_id").select("item_id", "offer_kind", "normal_price")
+        return (self.facts.sold().join(only.select("item_id").distinct(), "item_id", "left_semi")
+                .select("item_id", "offer_kind", "normal_price"))
 
     def sellers(self) -> DataFrame:
         return (self.orders().groupBy(F.col("o_custkey").alias("seller_id"))
@@ -165,23 +162,34 @@ class StarTables:
         """Product -> item.  An item belongs to its brand and to its type."""
         part = self.raw("part").select(
             F.col("p_partkey").alias("item_id"), F.col("p_name").alias("descr"),
-            F.col("p_brand").alias("brand"), F.col("p_type").alias("category"))
+            F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
+            F.concat(F.lit("S-"), (F.col("p_size") % 4).cast("string")).alias("solo_type"))
         return (part.withColumn("product_id", F.explode(F.array("brand", "category")))
-                .select("product_id", "item_id", "descr", "brand", "category"))
+                .select("product_id", "item_id", "descr", "brand", "category", "solo_type"))
 
     def offer_kinds(self) -> DataFrame:
         return self._values("('A','01'), ('N','01'), ('R','02')", "offer_kind, profit_kind")
 
     def geography(self) -> DataFrame:
+        """Territories by cycle: zones and regions of the cycle before are others."""
+        at = F.explode(F.array(*[F.struct(F.lit(c).alias("cycle"), F.lit(k).alias("shift"))
+                                 for c, k in ((36027, 0), (35939, 0), (36026, 1), (35938, 1))]))
         return (self.raw("nation").join(self.raw("region"),
                                         F.col("n_regionkey") == F.col("r_regionkey"))
-                .select(F.col("n_nationkey").alias("territory"), F.col("n_name").alias("zone"),
-                        F.col("n_regionkey").alias("region_id"), F.col("r_name").alias("region")))
+                .withColumn("at", at)
+                .select(F.col("n_nationkey").alias("territory"), F.col("at.cycle").alias("cycle"),
+                        F.concat("n_name", F.repeat(F.lit("~"), F.col("at.shift"))).alias("zone"),
+                        (F.col("n_regionkey") + F.col("at.shift")).alias("region_id"),
+                        F.col("r_name").alias("region")))
 
     def profiles(self) -> DataFrame:
+        """Peer profiles by country and process cycle; those of other runs are others."""
         key = F.col("c_custkey")
-        return (self.raw("customer").where(key % 7 != 0)
-                .select(key.alias("seller_id"), (key % 5).cast("int").alias("profile")))
+        at = F.explode(F.array(*[F.struct(F.lit(c).alias("country"), F.lit(t).alias("process_cycle"), F.lit(k).alias("shift"))
+                                 for c, t, k in (("C1", "200110", 0), ("C1", "199612", 0), ("C1", "200109", 1), ("C2", "200110", 2))]))
+        return (self.raw("customer").where(key % 7 != 0).select(key.alias("seller_id"), at.alias("at"))
+                .select("seller_id", "at.country", "at.process_cycle",
+                        ((F.col("seller_id") + F.col("at.shift")) % 5).cast("int").alias("profile")))
 
     # ---- offer parameters ----------------------------------------------------
     def offers(self) -> DataFrame:
@@ -207,15 +215,27 @@ class StarTables:
 
     @cached_property
     def forced_slots(self) -> DataFrame:
-        """Forced slots (kind 1) and brand/categories not to repeat (kind 0) of every
-        run.  Those of profile 2 and of the later target cycle belong to other runs."""
-        slots = ["'Brand#12','STANDARD',1,1", "'Brand#18','STANDARD',1,1", "'Brand#9','LARGE',1,2",
-                 "'Brand#20','STANDARD',0,NULL", "'Brand#9','SMALL',0,NULL"]
-        rows = [f"('C1','{p}','{t}','{k}','{s}','{x}',{v})" for k, s, x, p, t, _, _ in self.RUNS
-                for v in (slots if x == "X" else ["'Brand#3','PROMO',1,3", "'Brand#4','LARGE',0,NULL"])]
-        rows.append("('C1','200110','200112','E','SR','X','Brand#5','PROMO',1,4)")
-        return self._values(", ".join(rows), "country, process_cycle, target_cycle, kind, "
-                            "personalisation, profile, brand, category, forced_kind, slot")
+        """Forced slots (kind 1) and brand/categories not to repeat (kind 0) of every run,
+        by the number of the brand.  Those of profile 2, of the later target cycle and of
+        another country belong to other runs."""
+        number = F.substring("p_brand", 7, 10).cast("int")
+        brands = (self.raw("part").groupBy(F.col("p_brand").alias("brand"), number.alias("number"))
+                  .agg(F.max("p_type").alias("last"), F.min("p_type").alias("first")))
+
+        def rule(every: int, category: str, kind: int, slot: Column):
+            return F.when(F.col("number") % every == 0, F.struct(
+                F.col(category).alias("category"), F.lit(kind).alias("forced_kind"), slot.cast("int").alias("slot")))
+
+        own = [rule(6, "last", 1, 1 + F.floor(F.col("number") / 6) % 2), rule(10, "last", 0, F.lit(None)),
+               rule(9, "first", 0, F.lit(None))]
+        others = [rule(5, "last", 1, F.lit(3)), rule(4, "last", 0, F.lit(None))]
+        runs = [("C1", p, t, k, s, x, own if x == "X" else others) for k, s, x, p, t, _, _ in self.RUNS]
+        runs += [("C1", "200110", "200112", "E", "SR", "X", others), ("C2", "200110", "200111", "E", "SR", "X", others)]
+        keys = ["country", "process_cycle", "target_cycle", "kind", "personalisation", "profile"]
+        each = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(keys, r)],
+                                            F.array_compact(F.array(*r[6])).alias("slots")) for r in runs]))
+        return (brands.withColumn("r", each).select("brand", "r.*").withColumn("s", F.explode("slots"))
+                .select(*keys, "brand", "s.category", "s.forced_kind", "s.slot"))
 
     @cached_property
     def forced_slots_estimation(self) -> DataFrame:

@@ -646,6 +646,7 @@ SELECT *, {_score('opportunity_z', 'sales_gap')} AS score, {_score('opportunity_
  {_score('least(opportunity_mc_z * total_units, 700)', 'sales_gap_mc')} AS score_mc_units FROM q_oppz"""
 FINAL["gap_single"] = "SELECT * FROM q_gsingle"
 FINAL["gap_bundle"] = "SELECT * FROM q_gbundle"
+FINAL["run_variables"] = f"SELECT r.*, p.profile AS peer_profile FROM ({FINAL['rfm_consolidated']}) r LEFT JOIN v_profile p ON p.seller_id = r.seller_id"
 FINAL["gap_all"] = f"""
 SELECT *, {rnd('sales_gap', 4)} AS sales_gap_round, {rnd('optimal_price', 4)} AS optimal_price_round,
  {rnd('sales_gap_mc', 4)} AS sales_gap_mc_round FROM q_gaps"""
@@ -748,11 +749,11 @@ CTES["q_per_offer"] = "SELECT offer_id, count(DISTINCT seller_id) AS total_selle
 FINAL["sellers_per_offer"] = "SELECT * FROM q_per_offer"
 FINAL["estimated_totals"] = """
 WITH t AS (SELECT r.product_id, r.offer_type, r.offer_id, r.sales_code, r.units, r.price, r.parent, max(p.descr) AS descr, max(p.brand) AS brand,
-  max(p.category) AS category FROM (SELECT DISTINCT offer_type, offer_id, product_id, units, price, sales_code, parent FROM v_estimation
+  max(p.category) AS category, max(p.solo_type) AS solo_type FROM (SELECT DISTINCT offer_type, offer_id, product_id, units, price, sales_code, parent FROM v_estimation
     WHERE kind = 'E' AND personalisation = 'SR' AND process_cycle = '200110' AND target_cycle = '200111') r
   JOIN v_product p USING (product_id) WHERE p.descr IS NOT NULL GROUP BY 1,2,3,4,5,6,7)
-SELECT t.offer_type, t.offer_id, t.brand, t.category, t.product_id, t.descr, t.units, sum(c.total_sellers) AS total_sellers, 'SR' AS personalisation
- FROM q_per_offer c JOIN t USING (offer_id) GROUP BY 1,2,3,4,5,6,7"""
+SELECT t.offer_type, t.offer_id, t.brand, t.category, t.solo_type, t.product_id, t.descr, t.units, sum(c.total_sellers) AS total_sellers, 'SR' AS personalisation
+ FROM q_per_offer c JOIN t USING (offer_id) GROUP BY 1,2,3,4,5,6,7,8"""
 
 # ---- daily offer ---------------------------------------------------------------
 CTES["q_daily"] = f"""
@@ -796,6 +797,32 @@ FINAL["io_parameter_csv"] = "SELECT * FROM v_parameters"
 FINAL["io_source_table"] = "SELECT * FROM v_seller WHERE seller_id % 3 <> 0"
 FINAL["io_full_overwrite"] = f"SELECT * FROM v_seller WHERE enrol_cycle > {PN}"
 FINAL["io_partition_overwrite"] = f"SELECT seller_id, cycle, CASE WHEN cycle = {P} THEN 2 * net ELSE net END AS net FROM q_cycle_totals"
+FINAL["io_run_log"] = f"""
+SELECT r.run_id, 'status' AS step, 'C1' AS country, '200110' AS process_cycle, '200111' AS target_cycle, 'E' AS kind, r.message, 1 AS status FROM (
+ SELECT 'run-1' AS run_id, {text('cycle')} || ': ' || CAST(sum(flag_order) AS BIGINT) || ' sellers with orders' AS message FROM v_status WHERE cycle BETWEEN {R6} AND {P} GROUP BY cycle
+ UNION ALL SELECT 'run-2', 'another run') r"""
+FINAL["io_optional_table"] = """
+SELECT 'drifted' AS state, seller_id, enrol_cycle, NULL AS profile FROM v_seller
+UNION ALL SELECT 'whole', s.seller_id, s.enrol_cycle, p.profile FROM v_seller s LEFT JOIN v_profile p ON p.seller_id = s.seller_id"""
+FINAL["warehouse_sales"] = f"SELECT * FROM v_sales WHERE cycle BETWEEN {S} AND {P}"
+FINAL["warehouse_status"] = f"SELECT * FROM v_status WHERE cycle BETWEEN {R6} AND {P}"
+FINAL["warehouse_catalog"] = "SELECT * FROM v_catalog"
+FINAL["warehouse_sellers"] = "SELECT * FROM v_seller"
+FINAL["warehouse_products"] = "SELECT * FROM v_product"
+FINAL["warehouse_geography"] = "SELECT * FROM v_geo"
+FINAL["warehouse_base"] = "SELECT * FROM q_base"
+FINAL["warehouse_final_order"] = "SELECT * FROM q_final"
+FINAL["parameter_offers"] = "SELECT * FROM v_parameters"
+FINAL["parameter_offers_estimation"] = "SELECT * FROM v_estimation"
+FINAL["parameter_forced_slots"] = "SELECT * FROM v_slot_file"
+FINAL["parameter_forced_slots_estimation"] = "SELECT * FROM v_slot_file WHERE personalisation = 'SR'"
+FINAL["parameter_profiles"] = "SELECT * FROM v_profile"
+_LINE = ("country || ',' || process_cycle || ',' || target_cycle || ',' || kind || ',' || personalisation || ',' || profile || ',' || offer_type || ',' || offer_id"
+         " || ',' || {0} || ',' || {1} || ',' || price || ',' || sales_code || ',' || parent || ',' || flag_top || ',' || limit_units || ',' || flag_last_minute"
+         " || ',' || link || ',' || slots || ',' || top_slots")
+FINAL["parameter_rejected"] = f"""
+SELECT 'offers' AS file, {_LINE.format('product_id', "'x' || units")} AS line, 'UNIDADES is not int' AS reason FROM v_parameters WHERE profile = '2'
+UNION ALL SELECT 'offers', {_LINE.format("product_id || ',?'", 'units')}, 'wrong number of fields' FROM v_parameters WHERE kind = 'N' AND flag_top = 1"""
 FINAL["io_self_overwrite"] = "SELECT seller_id, cycle, 2 * net AS net FROM q_cycle_totals"
 
 

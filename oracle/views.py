@@ -4,8 +4,8 @@ _CYCLE = "CAST(year(o_orderdate)*18 + floor((dayofyear(o_orderdate)-1)*18/366) A
 
 VIEWS = {
     "v_product": """
-SELECT p_brand AS product_id, p_partkey AS item_id, p_name AS descr, p_brand AS brand, p_type AS category FROM part
-UNION ALL SELECT p_type, p_partkey, p_name, p_brand, p_type FROM part""",
+SELECT p_brand AS product_id, p_partkey AS item_id, p_name AS descr, p_brand AS brand, p_type AS category, 'S-' || (p_size % 4) AS solo_type FROM part
+UNION ALL SELECT p_type, p_partkey, p_name, p_brand, p_type, 'S-' || (p_size % 4) FROM part""",
     "v_offer": """
 SELECT DISTINCT 'Individual' AS offer_type, 'I-' || p_brand AS offer_id, p_brand AS product_id, 10 AS units,
  CAST(900 + 4*CAST(substr(p_brand,7) AS INT) AS DECIMAL(18,2)) AS price, 'V-' || p_brand AS sales_code, 1 AS parent,
@@ -45,7 +45,13 @@ SELECT 'C1' AS country, r.process_cycle, r.target_cycle, r.kind, r.personalisati
  FROM v_offer CROSS JOIN (VALUES ('E','SR','X','200110','200111',8,2),('E','ODD','X','200110','200111',6,0),('E','SR','2','200110','200111',8,2),
   ('N','ODD','X','199612','199613',6,0),('N','SR','X','199612','199613',8,2)) AS r(kind,personalisation,profile,process_cycle,target_cycle,slots,top_slots)""",
     "v_estimation": "SELECT * REPLACE (slots + 2 AS slots) FROM v_parameters WHERE personalisation = 'SR' AND profile = 'X'",
-    "v_forced": """SELECT * FROM (VALUES ('Brand#12','STANDARD',1,1),('Brand#18','STANDARD',1,1),('Brand#9','LARGE',1,2),
- ('Brand#20','STANDARD',0,NULL),('Brand#9','SMALL',0,NULL)) AS t(brand,category,forced_kind,slot)""",
+    "v_brand": """SELECT p_brand AS brand, CAST(substr(p_brand, 7) AS INT) AS number, max(p_type) AS last, min(p_type) AS first FROM part GROUP BY ALL""",
+    "v_forced": """SELECT brand, last AS category, 1 AS forced_kind, 1 + CAST(number // 6 % 2 AS INT) AS slot FROM v_brand WHERE number % 6 = 0
+ UNION ALL SELECT brand, last, 0, NULL FROM v_brand WHERE number % 10 = 0 UNION ALL SELECT brand, first, 0, NULL FROM v_brand WHERE number % 9 = 0""",
+    "v_forced_other": """SELECT brand, last AS category, 1 AS forced_kind, 3 AS slot FROM v_brand WHERE number % 5 = 0
+ UNION ALL SELECT brand, last, 0, NULL FROM v_brand WHERE number % 4 = 0""",
+    "v_slot_file": """SELECT 'C1' AS country, r.*, f.* FROM (VALUES ('200110','200111','E','SR','X'),('200110','200111','E','ODD','X'),
+  ('199612','199613','N','ODD','X'),('199612','199613','N','SR','X')) AS r(process_cycle,target_cycle,kind,personalisation,profile) CROSS JOIN v_forced f
+ UNION ALL SELECT 'C1', r.*, f.* FROM (VALUES ('200110','200111','E','SR','2'),('200110','200112','E','SR','X')) AS r CROSS JOIN v_forced_other f""",
     "v_start_day": "SELECT * FROM (VALUES (1,0,1,1),(2,0,2,1),(3,1,1,1),(4,2,1,0)) AS t(\"order\",start_day,order_in_day,state)",
 }

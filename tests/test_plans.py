@@ -1,4 +1,8 @@
-"""Physical plans: what reaches the scan, and joins that must not appear."""
+"""Physical plans: what reaches the scan, and joins and exchanges that must not appear."""
+
+import re
+
+import pytest
 
 from offerlens.plans.registry import context
 
@@ -7,9 +11,12 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_cycle_window_reaches_the_orders_scan(spark, sf):
-    plan = _plan(context(spark, sf).t.sales(36004, 36027))
+def test_cycle_window_reaches_the_scans(spark, sf):
+    t = context(spark, sf).t
+    plan = _plan(t.orders(36004, 36027))
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+    for df in (t.sales(36004, 36027), t.catalog(36004, 36027)):
+        assert "PartitionFilters: [isnotnull(cycle" in _plan(df) and "(cycle" in _plan(df) and "36004" in _plan(df)
 
 
 def test_scan_reads_needed_columns_only(spark, sf):
@@ -30,3 +37,37 @@ def test_scoring_shuffles_only_for_seller_counts(spark, sf):
     plan = _plan(context(spark, sf).e.scored)
     main = plan.split("Subqueries")[0]
     assert "SortMergeJoin" not in main and "Window" not in main
+
+
+# Keys of few values, some of them hot: sellers must not be placed by these alone.
+FEW = {"offer_id", "product_id", "offer_type", "region_id", "segment", "peer_profile", "territory"}
+
+
+def few_key_exchanges(df) -> list[str]:
+    """Exchanges that place rows of sellers by few keys alone."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    found = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning\((.*?), \d+\)", text)
+    bare = lambda names: {re.sub(r"#\d+L?$", "", n.strip()) for n in names.split(",")}
+    return [f"{k} <- {c}" for c, k in found if bare(k) <= FEW and "seller_id" in bare(c)]
+
+
+@pytest.mark.parametrize("limit", ["10485760", "-1"])
+def test_sellers_are_not_placed_by_few_keys(spark, sf, limit):
+    c = context(spark, sf)
+    frames = ["single_filled", "single_complete", "bundle_flagged", "bundle_complete", "listed_and_ordered",
+              "bundle_listed_and_ordered", "bundle_cycles", "potential", "consolidated", "gaps", "slot_choices"]
+    for w in (c.e, c.by_profile):
+        for name in frames:                       # short frames are staged, at the limit of the session
+            getattr(w, name)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        for w in (c.e, c.by_profile):
+            fresh = w.sibling(tuple(n for n in w.__dict__ if n not in (*frames, "tables", "run")))
+            for name in frames:
+                build = type(fresh).__dict__[name].func
+                df = getattr(build, "__wrapped__", build)(fresh)
+                assert not few_key_exchanges(df), name
+                if limit != "-1" and name in ("single_filled", "bundle_flagged", "consolidated"):
+                    assert "BroadcastHashJoin" in _plan(df), name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -49,10 +49,11 @@ def test_slots_match_greedy(spark, seed):
     n_fixed, n_free = 3, 2
     plan = spark.createDataFrame([(8, 3, n_fixed, n_free)],
                                  "slots int, top_slots int, fixed_slots int, free_slots int")
-    got = T.fill_slots(
-        spark.createDataFrame(cands, "seller_id int, offer_id string, flag_top int, probability double"),
+    cards = T.offer_cards(
         spark.createDataFrame(products, "offer_id string, product_id string, brand string, category string"),
-        spark.createDataFrame(forced, "brand string, category string, forced_kind int, slot int"), plan)
+        spark.createDataFrame(forced, "brand string, category string, forced_kind int, slot int"))
+    got = T.fill_slots(
+        spark.createDataFrame(cands, "seller_id int, offer_id string, flag_top int, probability double"), cards, plan)
     rows = sorted((r.seller_id, r.offer_id, r.probability, r.type, r["rank"]) for r in got.collect())
     assert rows == greedy(cands, products, forced, n_fixed, n_free)
 
@@ -65,7 +66,7 @@ def test_no_fixed_slots(spark):
     products = spark.createDataFrame([("a", "x", "b", "c"), ("b", "y", "b", "c"), ("c", "z", "b", "c")],
                                      "offer_id string, product_id string, brand string, category string")
     none = spark.createDataFrame([], "brand string, category string, forced_kind int, slot int")
-    got = T.fill_slots(cands, products, none, plan)
+    got = T.fill_slots(cands, T.offer_cards(products, none), plan)
     assert sorted((r.offer_id, r["rank"]) for r in got.collect()) == [("a", 2), ("b", 1)]
 
 
