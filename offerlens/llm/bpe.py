@@ -34,9 +34,14 @@ CONTRACTIONS = (b"re", b"ve", b"ll")
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"   # fixed value
 
-REMEMBERED = 100_000          # fragments per Python worker; then the memory starts anew
+REMEMBERED = 200_000          # fragments per Python worker, twice; then the older half goes
 LONGEST_REMEMBERED = 48       # bytes
 STRETCH = 1000                # texts that a worker encodes at a time
+TOGETHER = 1 << 18            # bytes of text that are cut and looked up at a time
+BETWEEN = b"\x01"             # stands between fragments that are encoded in one go
+# The pattern without its look ahead, BETWEEN apart from all else.
+QUICK_PATTERN = r"\x01|'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x01]+|\s+"
+SPACES = re.compile(r"\s\s")
 
 _OPEN: dict[str, "Codec"] = {}
 
@@ -68,6 +73,31 @@ def cut_table(tokens: list[bytes]) -> np.ndarray:
     return cut.reshape(-1)
 
 
+def _singly(fragments: list[bytes], exact) -> list[bytes]:
+    return [struct.pack(f"<{len(ids)}I", *ids) for ids in (exact(f.decode()) for f in fragments)]
+
+
+def _joined(fragments: list[bytes], exact, quick, between: int) -> list[bytes]:
+    """Ids of many fragments from one text, in which ``BETWEEN``, a byte that no longer token
+    holds, stands between them as a piece of its own; its id shows where to split.
+
+    ``quick`` has no look ahead, which matters only for white space of two characters or
+    more; fragments with that, or with that byte, are encoded by themselves.
+    """
+    joined, alone = BETWEEN.join(fragments).decode(), []
+    if SPACES.search(joined) or joined.count(BETWEEN.decode()) != len(fragments) - 1:
+        alone = [f for f in fragments if BETWEEN in f or SPACES.search(f.decode())]
+        skip = set(alone)
+        joined = BETWEEN.join([f for f in fragments if f not in skip]).decode()
+    ids = quick(joined, allowed_special=set(), disallowed_special=()).astype("<u4")
+    at, raw = (4 * np.flatnonzero(ids == between)).tolist(), ids.tobytes()
+    pieces = [raw[i + 4:j] for i, j in zip([-4, *at], [*at, len(raw)])]
+    if not alone:
+        return pieces
+    known, pieces = dict(zip(alone, _singly(alone, exact))), iter(pieces)
+    return [known[f] if f in known else next(pieces) for f in fragments]
+
+
 class Codec:
     """Decoding needs the tokens' bytes alone; what encodes is loaded with the first
     fragment, so that workers that only decode do not hold it."""
@@ -87,6 +117,7 @@ class Codec:
         self.special = re.compile(b"(" + b"|".join(re.escape(t.encode()) for t in added) + b")") if added else None
         self.added = {t.encode(): i for t, i in added.items()}
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.fragments = None
 
     def _file(self) -> dict:
@@ -94,8 +125,8 @@ class Codec:
             return json.load(f)
 
     def _encoder(self):
-        """From a list of fragments to the ids of each: a quick one for single fragments
-        if merges are in the order of their ids and the pre-tokenizer is the usual
+        """From a list of fragments to the packed ids of each: a quick encoder for many at
+        once if merges are in the order of their ids and the pre-tokenizer is the usual
         pattern, else the library."""
         data = self._file()
         vocabulary, pre = data["model"]["vocab"], data["pre_tokenizer"] or {}
@@ -104,48 +135,62 @@ class Codec:
             import tiktoken
 
             ranks = {self.bytes_of[i]: i for i in vocabulary.values()}
-            quick = tiktoken.Encoding("fragments", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-            return lambda texts: map(quick, texts)
+            exact, quick = (tiktoken.Encoding("fragments", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (PATTERN, QUICK_PATTERN))
+            if [t for t in ranks if BETWEEN in t] != [BETWEEN]:
+                return lambda fragments: _singly(fragments, exact.encode_ordinary)
+            return lambda fragments: _joined(fragments, exact.encode_ordinary, quick.encode_to_numpy, ranks[BETWEEN])
         os.environ["TOKENIZERS_PARALLELISM"] = "false"                         # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(self.path)
         library.no_truncation()
         library.no_padding()
-        return lambda texts: (e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False))
+        return lambda fragments: [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in
+                                  library.encode_batch_fast([f.decode() for f in fragments], add_special_tokens=False)]
 
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        if self.fragments is None:
-            self.fragments = self._encoder()
-        lists = self.fragments([f.decode() for f in new])
-        found = {f: struct.pack(f"<{len(ids)}I", *ids) for f, ids in zip(new, lists)}
+        """Ids of fragments that are not in ``known``.  Once that is full it becomes ``older``,
+        from which fragments that occur again come back."""
+        found = {f: i for f in new if (i := self.older.get(f)) is not None}
+        if len(found) < len(new):
+            if self.fragments is None:
+                self.fragments = self._encoder()
+            unseen = [f for f in new if f not in found]
+            found.update(zip(unseen, self.fragments(unseen)))
         if len(self.known) + len(found) > REMEMBERED:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         self.known.update((f, i) for f, i in found.items() if len(f) <= LONGEST_REMEMBERED)
         return found
 
-    def _plain(self, text: bytes) -> bytes:
-        a = np.frombuffer(text, np.uint8)
-        at = [0, *(np.flatnonzero(self.cuts[(a[:-1].astype(np.uint16) << 8) | a[1:]]) + 1).tolist(), len(text)]
-        fragments = [text[i:j] for i, j in zip(at, at[1:])]
-        new = set(fragments).difference(self.known)
-        if not new:
-            return b"".join(map(self.known.__getitem__, fragments))
-        # What is known is looked up before learning, which may forget it.
-        old = self.known
-        had = {f: old[f] for f in set(fragments).difference(new)} if len(old) + len(new) > REMEMBERED else old
-        found = self._learn(list(new))
-        return b"".join([found[f] if f in found else had[f] for f in fragments])
+    def _plain(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts without special tokens, cut and looked up together."""
+        joined, ends = b"".join(texts), np.cumsum([0, *map(len, texts)])
+        a, mark = np.frombuffer(joined, np.uint8), np.zeros(len(joined) + 1, bool)
+        if len(a) > 1:
+            mark[1:-1] = self.cuts[(a[:-1].astype(np.uint16) << 8) | a[1:]]
+        mark[ends] = True
+        at = np.flatnonzero(mark)
+        places, at = np.searchsorted(at, ends).tolist(), at.tolist()
+        fragments = [joined[i:j] for i, j in zip(at, at[1:])]
+        ids = list(map(self.known.get, fragments))
+        missing = [k for k, x in enumerate(ids) if x is None]
+        if missing:
+            found = self._learn(list({fragments[k] for k in missing}))
+            for k in missing:
+                ids[k] = found[fragments[k]]
+        return [b"".join(ids[i:j]) for i, j in zip(places, places[1:])]
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        if self.special is None:
+            return self._plain(texts)
+        # Special tokens stand at the odd places; the library encodes them as one id.
+        parts = [self.special.split(t) if self.special.search(t) else [t] for t in texts]
+        plain = iter(self._plain([p for some in parts for p in some[::2]]))
+        return [b"".join(struct.pack("<I", self.added[p]) if k % 2 else next(plain) for k, p in enumerate(some)) for some in parts]
 
     def encode(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if not text:
-            return b""
-        if self.special is None or not self.special.search(text):
-            return self._plain(text)
-        # Special tokens stand at the odd places; the library encodes them as one id.
-        parts = self.special.split(text)
-        return b"".join(struct.pack("<I", self.added[p]) if k % 2 else self._plain(p) for k, p in enumerate(parts) if p)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         ids = ids[(ids >= 0) & (ids < len(self.bytes_of))]
@@ -165,6 +210,19 @@ def stretches(batches):
             yield batch.slice(k, STRETCH)
 
 
+def encoded_texts(texts, c: "Codec"):
+    """The packed ids of each text, encoded some ``TOGETHER`` bytes at a time."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size >= TOGETHER:
+            yield from c.encode_all(held)
+            held, size = [], 0
+    if held:
+        yield from c.encode_all(held)
+
+
 def id_lists(packed: list[bytes]) -> pa.ListArray:
     ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
@@ -174,7 +232,7 @@ def encoded(text: Column, path: str) -> Column:
     """Ids of a text: array<int>, empty where the text is null."""
     def ids(texts: pa.Array) -> pa.Array:
         c = codec(path)
-        return id_lists([c.encode(t) for t in texts_of(texts)])
+        return id_lists(list(encoded_texts(texts_of(texts), c)))
 
     return F.arrow_udf(ids, "array<int>")(text)
 
@@ -185,7 +243,7 @@ def round_trips(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     def run(batches):
         c = codec(path)
         for batch in stretches(batches):
-            packed = [c.encode(t) for t in texts_of(batch.column(1))]
+            packed = list(encoded_texts(texts_of(batch.column(1)), c))
             texts = pa.array([c.decode(np.frombuffer(p, "<i4")) for p in packed], pa.string())
             yield pa.record_batch([batch.column(0), id_lists(packed), texts], ["doc_id", "ids", "decoded"])
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import codec, texts_of
+from .bpe import codec, encoded_texts, texts_of
 from .shared import shared_path, written
 
 # Ids per word by selector; 0 is the escape.
@@ -51,21 +51,22 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values = values.astype(np.uint64)
     best = np.full(n, len(COUNTS) - 1, np.uint8)          # the selector to use at each place
     wide = (values >> np.uint64(60)) > 0
+    bits = np.frexp(values.astype(np.float64))[1].astype(np.uint8)     # one more than needed just below 2^53 and up
     for s in range(len(COUNTS) - 2, 0, -1):               # narrower ids, more of them per word
         c = COUNTS[s]
-        fits = np.concatenate([(values >> np.uint64(60 // c)) == 0, np.ones(c, bool)])
-        if not fits[:n].any():
-            break
-        run, have = fits, 1                               # run[i]: the next `have` values fit
+        run, have = np.concatenate([bits <= 60 // c, np.ones(c, bool)]), 1     # run[i]: the next `have` values fit
         while have < c:
             step = min(have, c - have)
             run = run[: len(run) - step] & run[step:]
             have += step
-        best[run[:n]] = s
+        run = np.flatnonzero(run[:n])
+        if not len(run):                                  # then no longer run of narrower ids does
+            break
+        best[run] = s
     best[wide] = 0
-    hop = np.array(COUNTS, np.int64)
+    hop = np.array(COUNTS, np.uint8)
     hop[0] = 1
-    jump, at, starts = hop[best].tolist(), 0, []
+    jump, at, starts = hop[best].tobytes(), 0, []
     while at < n:
         starts.append(at)
         at += jump[at]
@@ -142,8 +143,8 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, path: str | None = None
             return pa.record_batch([pa.array([out], pa.binary())], ["frame"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-                packed.append(c.encode(text) + end)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded_texts(texts_of(batch.column(1)), c)):
+                packed.append(ids + end)
                 doc_ids.append(doc_id)
                 sizes.append(len(packed[-1]) // 4)
                 n += sizes[-1]

@@ -19,7 +19,7 @@ from offerlens.llm.queries import QUERIES
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     df = QUERIES[name](spark, sf)
     ours = sorted(map(tuple, df.collect()), key=repr)
@@ -31,7 +31,7 @@ def test_query_matches_sql(spark, sf, name):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
