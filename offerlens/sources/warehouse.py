@@ -100,7 +100,8 @@ def parameter_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
     Columns are found by their header, in any order and case.  A line with too many or too
     few fields, or with a text where a number is declared, is kept with its reason and
-    whole in ``_line``, so that nothing is lost silently or read as a null.
+    whole in ``_line``, so that nothing is lost silently or read as a null.  (Fields are
+    counted only where the reader does not prune columns.)
     """
     names = spark.read.option("header", True).csv(path).columns
     by_lower = {n.lower(): n for n in names}
@@ -110,7 +111,7 @@ def parameter_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
     texts = ", ".join(f"`{n}` string" for n in names)
     df = (spark.read.schema(f"{texts}, _line string").option("header", True)
-          .option("columnNameOfCorruptRecord", "_line").csv(path))
+          .option("columnNameOfCorruptRecord", "_line").option("columnPruning", False).csv(path))
     at = {n: F.col(f"`{by_lower[n.lower()]}`") for n, _ in declared}
     wrong = [F.when((F.trim(at[n]) != "") & F.trim(at[n]).try_cast(t).isNull(), F.lit(f"{n} is not {t}"))
              for n, t in declared if t != "string"]
