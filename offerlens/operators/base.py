@@ -88,10 +88,6 @@ def filter_base(base: DataFrame, run: RunParams) -> DataFrame:
     return base.where((F.col("kind") == run.kind) & (F.col("profile") == run.profile))
 
 
-def seller_keys(base: DataFrame) -> DataFrame:
-    return base.select("seller_id")
-
-
 def with_peer_profile(base: DataFrame, profiles: DataFrame) -> DataFrame:
     """Base with the external profile used as a peer group (null when none)."""
     return base.join(profiles.select("seller_id", F.col("profile").alias("peer_profile")),

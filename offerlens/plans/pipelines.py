@@ -127,7 +127,7 @@ def apply_ranking_rules(tables, run: RunParams, repository: Repository, log: Run
             complement = selection.run_rows(stored, run, target=True)
         rows = daily.daily_interface(
             ranking.candidates(w.probabilities, run, drop_zero=False), complement, w.slot_plan,
-            w.offer_products_coded, tables.sellers(), tables.offer_parameters(),
+            w.offer_products_coded, w.sellers, tables.offer_parameters(),
             tables.start_days, run)
         return repository.save(rows, "daily_offers")
 

@@ -173,16 +173,18 @@ _q("estimation_products", OFFER.split(" limit_units")[0],
    lambda c: L.all_products(c.e.sibling(load=ESTIMATION).parameter_rows))
 _q("slot_counts", "target_cycle:s slots:i top_slots:i",
    lambda c: L.slot_counts(c.e.sibling(load=ESTIMATION).parameter_rows))
-_q("validate_missing_products", "product_id:s",
-   lambda c: V.missing_products(c.profiled.parameter_rows, c.t.products()))
-_q("validate_several_parents", "offer_id:s n_parents:l",
-   lambda c: V.several_parents(c.profiled.parameter_rows))
-_q("validate_repeated_codes", "sales_code:s n_rows:l",
-   lambda c: V.repeated_sales_codes(c.profiled.parameter_rows))
-_q("validate_without_parent", "profile:s offer_id:s", lambda c: V.offers_without_parent(
-    L.run_rows(c.t.offer_parameters(), ESTABLISHED_RUN, any_profile=True)))
-_q("validate_no_parameters", "n_rows:l", lambda c: V.no_parameters(
-    L.run_rows(c.t.offer_parameters(), ESTABLISHED_RUN.with_(profile="9"))))
+
+
+def _checked(c: Context, profile: str = "2", **options) -> DataFrame:
+    """The rows that the checks of a run see: those of its target cycle alone."""
+    return L.run_rows(c.t.offer_parameters(), ESTABLISHED_RUN.with_(profile=profile), target=True, **options)
+
+
+_q("validate_missing_products", "product_id:s", lambda c: V.missing_products(_checked(c), c.t.products()))
+_q("validate_several_parents", "offer_id:s n_parents:l", lambda c: V.several_parents(_checked(c)))
+_q("validate_repeated_codes", "sales_code:s n_rows:l", lambda c: V.repeated_sales_codes(_checked(c)))
+_q("validate_without_parent", "profile:s offer_id:s", lambda c: V.offers_without_parent(_checked(c, any_profile=True)))
+_q("validate_no_parameters", "n_rows:l", lambda c: V.no_parameters(_checked(c, "9")))
 _q("validation_report", "message:s", lambda c: V.validation_report(
     c.t.offer_parameters(), c.t.products(), ESTABLISHED_RUN.with_(profile="2")))
 _q("validation_report_estimation", "message:s", lambda c: V.validation_report(
@@ -367,7 +369,9 @@ _q("zscores", SO + " ".join(f"{z}:d" for z in M.Z_COLUMNS), lambda c: M.z_scores
 _q("opportunity", SO + "opportunity:d opportunity_mc:d", lambda c: c.e.opportunities)
 _q("normalised_opportunity", SO + "opportunity_z:d opportunity_mc_z:d", lambda c: c.e.normalised)
 _q("scores", SO + "score:r score_mc:r score_units:r score_mc_units:r", lambda c: c.e.scored)
-_q("rfm_scored", RFM + " score:r score_mc:r score_units:r score_mc_units:r",
+_q("rfm_scored", RFM + " score:r score_mc:r score_units:r score_mc_units:r sales_gap_mc:r n_listings:i "
+   + " ".join(f"{z}:d" for z in M.Z_COLUMNS) + " opportunity:d opportunity_mc:d opportunity_z:d opportunity_mc_z:d "
+   "official_profile:s flag_recommended:i",
    lambda c: M.scored_variables(c.e.scored))
 PROB = ("country:s process_cycle:s target_cycle:s seller_id:l offer_id:s flag_top:i probability:r "
         "kind:s personalisation:s engine:i profile:s")
@@ -415,7 +419,7 @@ def _daily_candidates(w: Workspace) -> DataFrame:
 def _interface(w: Workspace, configured: bool | None) -> DataFrame:
     return D.daily_interface(
         _daily_candidates(w), w.complement if w.run.kind == NEW else None, w.slot_plan,
-        w.offer_products_coded, w.tables.sellers(), w.tables.offer_parameters(),
+        w.offer_products_coded, w.sellers, w.tables.offer_parameters(),
         w.tables.start_days, w.run, configured)
 
 

@@ -255,7 +255,7 @@ class StarTables:
     # Run headers of the parameter tables: kind, personalisation, profile,
     # process cycle, target cycle, slots, top slots
     RUNS = [("E", "SR", "X", "200110", "200111", 8, 2), ("E", "ODD", "X", "200110", "200111", 6, 0),
-            ("E", "SR", "2", "200110", "200111", 8, 2), ("N", "ODD", "X", "199612", "199613", 6, 0),
+            ("E", "SR", "2", "200110", "200111", 8, 2), ("E", "SR", "2", "200110", "200112", 8, 2), ("N", "ODD", "X", "199612", "199613", 6, 0),
             ("N", "SR", "X", "199612", "199613", 8, 2)]
 
     def offer_parameters(self) -> DataFrame:

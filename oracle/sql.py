@@ -64,7 +64,7 @@ SELECT seller_id, count(*) AS n_cycles, sum(flag_order) AS ordered, sum(flag_act
 # ---- parameters ----------------------------------------------------------------
 _E_RUN = "kind = 'E' AND personalisation = 'SR' AND process_cycle = '200110'"
 CTES["q_rows"] = f"SELECT * FROM v_parameters WHERE {_E_RUN} AND profile = 'X'"
-CTES["q_rows_2"] = f"SELECT * FROM v_parameters WHERE {_E_RUN} AND profile = '2'"
+CTES["q_rows_2"] = f"SELECT * FROM v_parameters WHERE {_E_RUN} AND profile = '2' AND target_cycle = '200111'"
 _OFFER = ("offer_type, offer_id, product_id, units, price, sales_code, parent, flag_top, limit_units,"
           " flag_last_minute, link")
 CTES["q_offers"] = f"SELECT DISTINCT {_OFFER} FROM q_rows WHERE price > 0"
@@ -83,7 +83,7 @@ CTES["q_parents"] = "SELECT offer_id, sum(parent) AS n_parents FROM q_rows_2 GRO
 CTES["q_codes"] = """
 SELECT sales_code, count(*) AS n_rows FROM q_rows_2 WHERE parent > 0 GROUP BY 1 HAVING count(*) > 1"""
 CTES["q_no_parent"] = f"""
-SELECT profile, offer_id FROM v_parameters WHERE {_E_RUN} GROUP BY 1, 2
+SELECT profile, offer_id FROM v_parameters WHERE {_E_RUN} AND target_cycle = '200111' GROUP BY 1, 2
  HAVING sum(CASE WHEN parent = 1 THEN 1 ELSE 0 END) = 0"""
 FINAL["validate_missing_products"] = "SELECT * FROM q_missing"
 FINAL["validate_several_parents"] = "SELECT * FROM q_parents"
@@ -656,7 +656,7 @@ FINAL["zscores"] = "SELECT * FROM q_z"
 FINAL["opportunity"] = "SELECT * FROM q_opp"
 FINAL["normalised_opportunity"] = "SELECT * FROM q_oppz"
 FINAL["scores"] = "SELECT * FROM q_scored"
-FINAL["rfm_scored"] = "SELECT * FROM q_scored"
+FINAL["rfm_scored"] = "SELECT *, 0 AS n_listings, 'A' AS official_profile, 0 AS flag_recommended FROM q_scored"
 
 
 def _prob(score: str, engine: int, rules: str = "SR") -> str:

@@ -42,7 +42,7 @@ SELECT 'C1' AS country, r.process_cycle, r.target_cycle, r.kind, r.personalisati
  units, price, CASE WHEN r.profile = '2' AND product_id = 'Brand#5' THEN 'V-Brand#6' ELSE sales_code END AS sales_code,
  CASE WHEN r.profile = '2' AND offer_type = 'Bundle' THEN 1 WHEN r.profile = '2' AND offer_id = 'I-Brand#3' THEN 0 ELSE parent END AS parent,
  flag_top, parent + 5 AS limit_units, flag_top AS flag_last_minute, 0 AS link, r.slots, r.top_slots
- FROM v_offer CROSS JOIN (VALUES ('E','SR','X','200110','200111',8,2),('E','ODD','X','200110','200111',6,0),('E','SR','2','200110','200111',8,2),
+ FROM v_offer CROSS JOIN (VALUES ('E','SR','X','200110','200111',8,2),('E','ODD','X','200110','200111',6,0),('E','SR','2','200110','200111',8,2),('E','SR','2','200110','200112',8,2),
   ('N','ODD','X','199612','199613',6,0),('N','SR','X','199612','199613',8,2)) AS r(kind,personalisation,profile,process_cycle,target_cycle,slots,top_slots)""",
     "v_estimation": "SELECT * REPLACE (slots + 2 AS slots) FROM v_parameters WHERE personalisation = 'SR' AND profile = 'X'",
     "v_brand": """SELECT p_brand AS brand, CAST(substr(p_brand, 7) AS INT) AS number, max(p_type) AS last, min(p_type) AS first FROM part GROUP BY ALL""",
@@ -52,6 +52,6 @@ SELECT 'C1' AS country, r.process_cycle, r.target_cycle, r.kind, r.personalisati
  UNION ALL SELECT brand, last, 0, NULL FROM v_brand WHERE number % 4 = 0""",
     "v_slot_file": """SELECT 'C1' AS country, r.*, f.* FROM (VALUES ('200110','200111','E','SR','X'),('200110','200111','E','ODD','X'),
   ('199612','199613','N','ODD','X'),('199612','199613','N','SR','X')) AS r(process_cycle,target_cycle,kind,personalisation,profile) CROSS JOIN v_forced f
- UNION ALL SELECT 'C1', r.*, f.* FROM (VALUES ('200110','200111','E','SR','2'),('200110','200112','E','SR','X')) AS r CROSS JOIN v_forced_other f""",
+ UNION ALL SELECT 'C1', r.*, f.* FROM (VALUES ('200110','200111','E','SR','2'),('200110','200112','E','SR','2'),('200110','200112','E','SR','X')) AS r CROSS JOIN v_forced_other f""",
     "v_start_day": "SELECT * FROM (VALUES (1,0,1,1),(2,0,2,1),(3,1,1,1),(4,2,1,0)) AS t(\"order\",start_day,order_in_day,state)",
 }
