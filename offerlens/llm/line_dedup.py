@@ -13,8 +13,10 @@ differ in at least as many words as their bitmaps do in bits.  Pairs that are le
 verified on the words themselves.
 
 A line goes if an earlier line of its class, or of a class it matches, comes before it.
-So a class is first verified against the earliest class it may match, and only where
-that fails against all the others.
+So classes first meet the heads of a few of their words: the first class that has the
+word among its own few.  That costs a pair per word, however many lines are alike.
+Whatever those pairs remove needs no more partners; only for the classes that are left
+are all earlier partners looked up, the earliest of these verified first.
 
 All of it is DataFrame work.  Only lines that are left to verify are read again and
 shuffled, found by small Bloom filters; neither texts nor word sets of all lines are.
@@ -30,10 +32,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE, bloom_filter, filter_words, possibly_in, written
+from .shared import SPACE, bloom_filter, filter_words, fresh, possibly_in, written
 
 SIMILAR = (4, 5)              # 4/5, as whole numbers so that no bound is rounded
 SLOTS = 1 << 18               # of word counts: the largest thing that is sent to every task
+KEYS = 3                      # words by which a class meets heads
 LONG = "long"
 
 
@@ -99,23 +102,61 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "line_no")
 
 
+def _may_match(m: Column, n: Column, left: Column, x: Column, y: Column) -> Column:
+    """Filters of sets with ``m`` and ``n`` words, at most ``left`` of them shared, and
+    the parities ``x`` and ``y``."""
+    need = _overlap(m, n)
+    return ((F.least(m, n) * SIMILAR[1] >= F.greatest(m, n) * SIMILAR[0]) & (left >= need)
+            & (F.bit_count(x.bitwiseXOR(y)) <= m + n - 2 * need))
+
+
+def head_pairs(classes: DataFrame) -> DataFrame:
+    """(a, b, overlap): classes that may match the head of one of their ``KEYS`` words,
+    from (cls, first, parity, size, prefix).  The words are those of the prefix with the
+    least hashes, which near copies have in common more often than their rarest ones."""
+    keyed = classes.select("cls", "first.doc_id", "parity", "size", F.explode(F.slice(F.sort_array("prefix"), 1, KEYS)).alias("word"))
+    heads = (keyed.groupBy(F.col("word").alias("head_word"))
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "cls", "size", "parity")).alias("head"), F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select("head_word", "head.cls", "head.size", "head.parity").toDF("head_word", "b", "head_size", "head_parity"))
+    m, n = F.col("size"), F.col("head_size")
+    return (keyed.drop("doc_id").join(heads, F.col("word") == F.col("head_word"))
+            .where((F.col("cls") != F.col("b")) & _may_match(m, n, F.least(m, n), F.col("parity"), F.col("head_parity")))
+            .select(F.col("cls").alias("a"), "b", _overlap(m, n).alias("overlap")).distinct())
+
+
 def candidates(classes: DataFrame) -> DataFrame:
-    """(a, b, overlap): pairs of classes that may match, from (cls, parity, size, prefix)."""
-    items = classes.select("cls", "parity", "size", F.posexplode("prefix").alias("at", "word"))
+    """(a, b, overlap): pairs of classes that may match, from (cls, parity, size, prefix,
+    settled), but for those of two settled classes."""
+    # Place and length in one long, below zero for a settled class.
+    spot = F.when(F.col("settled"), -1).otherwise(1) * (F.col("at").cast(LONG) * (1 << 32) + F.col("size"))
+    items = (classes.select("cls", "parity", "size", "settled", F.posexplode("prefix").alias("at", "word"))
+             .select("cls", "parity", spot.alias("spot"), "word"))
     x, y = items.alias("x"), items.alias("y")
-    m, n, p, q = F.col("x.size"), F.col("y.size"), F.col("x.at"), F.col("y.at")
-    need = _overlap(m, n)
-    apart = F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity")))
+    m, n = [F.abs(s).bitwiseAND(F.lit((1 << 32) - 1)).cast("int") for s in (F.col("x.spot"), F.col("y.spot"))]
+    p, q = [F.shiftright(F.abs(s), 32).cast("int") for s in (F.col("x.spot"), F.col("y.spot"))]
     # Conditions on both sides at once: the two sides stay one exchange of the same rows.
     # They hold for the first two words that a matching pair shares.
     met = x.join(y, (F.col("x.word") == F.col("y.word"))
                  & ((m < n) | ((m == n) & (F.col("x.cls") < F.col("y.cls"))))
-                 & (m * SIMILAR[1] >= n * SIMILAR[0]) & (F.least(m - p, n - q) + 1 >= need) & (apart <= m + n - 2 * need))
-    return (met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), need.alias("overlap"), F.least(m - p, n - q).alias("left"))
+                 & (F.greatest("x.spot", "y.spot") > 0)
+                 & _may_match(m, n, F.least(m - p, n - q) + 1, F.col("x.parity"), F.col("y.parity")))
+    return (met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), _overlap(m, n).alias("overlap"), F.least(m - p, n - q).alias("left"))
             .groupBy("a", "b", "overlap").agg(F.count(F.lit(1)).alias("shared"), F.max("left").alias("left"))
             .where("shared >= 2 and left >= overlap").select("a", "b", "overlap"))
 
 
+def turned(pairs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs as (late, early, first, overlap), ``first`` being the place of the
+    early class; and (cls, first) of their classes."""
+    wanted = written(pairs.select(F.col("a").alias("w")).unionByName(pairs.select(F.col("b").alias("w"))).distinct()
+                     .join(classes, F.col("w") == F.col("cls")).select("cls", "first"), "line-wanted")
+    one, two = wanted.select(F.col("cls").alias("a"), F.col("first").alias("fa")), wanted.select(F.col("cls").alias("b"), F.col("first").alias("fb"))
+    swap = F.col("fb") < F.col("fa")
+    return written(pairs.join(one, "a").join(two, "b")
+                   .select(F.when(swap, F.col("a")).otherwise(F.col("b")).alias("late"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("early"),
+                           F.least("fa", "fb").alias("first"), "overlap"), "line-turned"), wanted
+
+
 def texts_at(src: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cls, line) of the lines at the places ``wanted`` (cls, first)."""
     places = wanted.select("cls", "first.*")
@@ -143,18 +184,18 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = written(classified(src, levels), "lines")
     classes = written(rows.groupBy("cls").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"), F.first("parity").alias("parity"), F.first("size").alias("size"),
                                               F.first("prefix").alias("prefix")).where("size > 0"), "line-classes")
-    found = written(candidates(classes), "line-pairs")
-    wanted = written(found.select(F.col("a").alias("w")).unionByName(found.select(F.col("b").alias("w"))).distinct()
-                     .join(classes, F.col("w") == F.col("cls")).select("cls", "first"), "line-wanted")
-    one, two = wanted.select(F.col("cls").alias("a"), F.col("first").alias("fa")), wanted.select(F.col("cls").alias("b"), F.col("first").alias("fb"))
-    swap = F.col("fb") < F.col("fa")
-    turned = written(found.join(one, "a").join(two, "b")
-                     .select(F.when(swap, F.col("a")).otherwise(F.col("b")).alias("late"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("early"),
-                             F.least("fa", "fb").alias("first"), "overlap"), "line-turned")
+    # Classes that match the head of one of their words.
+    pairs, wanted = turned(written(head_pairs(classes), "line-heads"), classes)
+    soon = written(verified(pairs, texts_at(src, wanted)), "line-soon")
+    # All earlier partners of the others.
+    open_ = classes.join(soon, F.col("cls") == F.col("late"), "left").withColumn("settled", F.col("late").isNotNull())
+    pairs, wanted = turned(written(candidates(open_), "line-pairs"), classes)
+    pairs = pairs.join(soon, "late", "left_anti")
     texts = written(texts_at(src, wanted), "line-texts")
-    earliest = turned.groupBy("late").agg(F.min(F.struct("first", "early", "overlap")).alias("e")).select("late", "e.early", "e.overlap")
+    earliest = pairs.groupBy("late").agg(F.min(F.struct("first", "early", "overlap")).alias("e")).select("late", "e.early", "e.overlap")
     done = written(verified(earliest, texts), "line-done")
-    later = done.unionByName(verified(turned.join(done, "late", "left_anti").select("late", "early", "overlap"), texts)).withColumnRenamed("late", "gone")
+    later = (soon.unionByName(done).unionByName(verified(pairs.join(done, "late", "left_anti").select("late", "early", "overlap"), texts))
+             .withColumnRenamed("late", "gone"))
     # Classes that matter below: repeated, or removed whole.
     known = written(classes.join(later, F.col("cls") == F.col("gone"), "left").where("n > 1 or gone is not null")
                     .select(F.col("cls").alias("c"), "first", F.col("gone").isNotNull().alias("whole")), "line-known")
@@ -169,9 +210,10 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the removed lines taken out of the text."""
+    own, removed = fresh(docs, "gone_doc", "gone")
     gone = written(removed_lines(docs, id_col, text_col).where(F.size("removed") > 0)
-                   .select(F.xxhash64("doc_id", "tie").alias("_gone_doc"), F.col("removed").alias("_gone")), "lines-gone")
+                   .select(F.xxhash64("doc_id", "tie").alias(own), F.col("removed").alias(removed)), "lines-gone")
     key = F.xxhash64(F.col(id_col).cast(LONG), F.xxhash64(text_col))
-    lines = F.filter(F.split(text_col, "\n"), lambda _, k: ~F.array_contains("_gone", k))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
-    return docs.join(gone, key == F.col("_gone_doc"), "left").withColumn(text_col, text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    lines = F.filter(F.split(text_col, "\n"), lambda _, k: ~F.array_contains(removed, k))
+    text = F.when(F.col(removed).isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
+    return docs.join(gone, key == F.col(own), "left").withColumn(text_col, text).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -87,6 +87,11 @@ def test_simhash_without_ids(documents):
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in rows) == [(-1, -1), (-1, 3), (3, 3)]
 
 
+def test_simhash_and_licenses_of_no_documents(documents):
+    none = documents(["x"]).limit(0)
+    assert simhash.components_of(none).count() == 0 and simhash.deduplicated(none).count() == 0 and licenses.scan(none).count() == 0
+
+
 def test_simhash_keeps_one_of_each(documents):
     kept = simhash.deduplicated(documents(["a b c", "a b c", None, "", "q w e r t y"], clash=True))
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 4] and "fp" in kept.columns
@@ -352,6 +357,25 @@ def test_line_dedup_texts(documents):
     assert got == {0: texts[0], 1: "\nnew words altogether now", 2: None}
 
 
+def test_line_dedup_of_a_large_group(documents, monkeypatch):
+    """Near copies cost their number: all meet the head of a word, few are left to pair."""
+    rng = random.Random(3)
+    base = [f"b{k}" for k in range(30)]
+    texts = [" ".join(base if k == 0 else base[:at] + [f"n{k}"] + base[at + 1:]) for k in range(150) for at in [rng.randrange(30)]]
+    texts += variants()
+    pairs, real = {}, line_dedup.written
+
+    def counted(df, tag):
+        out = real(df, tag)
+        pairs[tag] = out.count() if tag in ("line-heads", "line-pairs") else None
+        return out
+
+    monkeypatch.setattr(line_dedup, "written", counted)
+    got = {r.doc_id: r.removed for r in line_dedup.removed_lines(documents(texts)).collect()}
+    assert got == brute_lines(texts)
+    assert pairs["line-heads"] + pairs["line-pairs"] < 150 * 149 / 8
+
+
 def test_line_dedup_edges(documents):
     assert line_dedup.removed_lines(documents(["x"]).limit(0)).count() == 0
     rows = line_dedup.removed_lines(documents([(None, "a b", "en", "s"), (7, "a b", "en", "s"), (7, "c", "en", "s"), (8, "c", "en", "s")])).collect()
