@@ -11,7 +11,8 @@ vectors of the same label and length meet.
 
 Defined cases: vectors that are null, of norm zero, empty, or hold null or non-finite
 components, and vectors without a label or ``vec_id``, link with nothing; rows that
-repeat a ``vec_id`` are vectors of their own.  Fewer than two pivots: one list for all.
+repeat a ``vec_id`` are vectors of their own (classes are told apart by 128 bits of hash
+and named by 64 of these in the index and the links).  Fewer than two pivots: one list for all.
 """
 
 from __future__ import annotations
@@ -97,8 +98,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     text = F.col(label_col).cast("string")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), text.alias("label"), vec.alias("vec"), ok.alias("ok"),
                           F.xxhash64(text, vec).alias("k1"), F.xxhash64(vec, text, F.lit(1)).alias("k2"))
-    classes = written(rows.where("ok").groupBy("k1", "k2")
-                      .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"),
+    classes = written(rows.where("ok").groupBy(F.col("k1").alias("node"), "k2")
+                      .agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"),
                            F.first("vec").alias("vec")), "vector-classes")
     pivots = pivots_of(classes, n_pivots)
     found = written(candidates(classes, pivots), "vector-candidates")
@@ -107,10 +108,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = (both.join(classes.select(F.col("node").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others")))
     ends = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    about = written(classes.select("k1", "k2", "node", "copies").join(others, F.col("node") == F.col("a"), "left")
+    named = written(classes.select("node", "k2", "least_id", "copies").join(others, F.col("node") == F.col("a"), "left")
                     .join(ends.select(F.col("node").alias("n"), "component"), F.col("node") == F.col("n"), "left")
-                    .select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-                            F.coalesce("component", "node").alias("component_id")), "vector-about")
+                    .select(F.col("node").alias("c1"), F.col("k2").alias("c2"), "least_id",
+                            (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component"), "vector-named")
+    # Components by the least id of their vectors; classes without links are their own.
+    least = written(named.where("component is not null").groupBy(F.col("component").alias("c")).agg(F.min("least_id").alias("least_of")), "vector-least")
+    about = written(named.join(least, F.col("component") == F.col("c"), "left")
+                    .select("c1", "c2", "n_links", F.coalesce("least_of", "least_id").alias("component_id")), "vector-about")
     out = (rows.select("vec_id", "ok", "k1", "k2")
            .join(about, F.col("ok") & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left"))
     component = F.coalesce("component_id", "vec_id")

@@ -15,9 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE, filter_word, filter_words, written
-
-OWN = "_dedup_"
+from .shared import SPACE, filter_word, filter_words, fresh, written
 
 
 def normalised(text: Column) -> Column:
@@ -49,11 +47,11 @@ def _mask(h: Column) -> Column:
 
 def split_by_filter(df: DataFrame, h: Column, bloom: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     """Rows that occur once for certain, and rows that may repeat."""
-    probed = (df.join(F.broadcast(bloom), filter_word(h, words) == F.col("filter_word"), "left")
-              .withColumn(OWN + "maybe", F.coalesce(F.col("filter_bits").bitwiseAND(_mask(h)) == _mask(h), F.lit(False)))
-              .drop("filter_word", "filter_bits"))
-    return (probed.where(~F.col(OWN + "maybe")).drop(OWN + "maybe"),
-            probed.where(OWN + "maybe").drop(OWN + "maybe"))
+    word, bits, maybe = fresh(df, "filter_word", "filter_bits", "maybe")
+    probed = (df.join(F.broadcast(bloom.select(F.col("filter_word").alias(word), F.col("filter_bits").alias(bits))),
+                      filter_word(h, words) == F.col(word), "left")
+              .withColumn(maybe, F.coalesce(F.col(bits).bitwiseAND(_mask(h)) == _mask(h), F.lit(False))))
+    return probed.where(~F.col(maybe)).drop(word, bits, maybe), probed.where(maybe).drop(word, bits, maybe)
 
 
 def assignments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -85,9 +83,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hashes = written(docs.select(h.alias("h")), "exact-hashes")
     words = filter_words(hashes.count())
     bloom = written(repeated_filter(hashes, words), "exact-filter")
-    once, maybe = split_by_filter(docs.withColumn(OWN + "h", h), F.col(OWN + "h"), bloom, words)
+    own, sha_col, row = fresh(docs, "h", "sha", "row")
+    once, maybe = split_by_filter(docs.withColumn(own, h), F.col(own), bloom, words)
     # min_by over the row: partial first, so a hot text sends one row per task.
-    best = (maybe.groupBy(sha.alias(OWN + "sha"))
+    best = (maybe.groupBy(sha.alias(sha_col))
             .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]),
-                          F.struct(F.col(id_col).isNull(), F.col(id_col))).alias(OWN + "row")))
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(best.select(OWN + "row.*"))
+                          F.struct(F.col(id_col).isNull(), F.col(id_col))).alias(row)))
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(best.select(f"{row}.*"))

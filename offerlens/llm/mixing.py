@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WORD, written
+from .shared import WORD, fresh, written
 
 WEIGHTS = (3, 1, 2)           # repeating, over the sources in order
 SHARE = 1.5                   # of all words
@@ -104,9 +104,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents of the mix, a row for each time a document is taken, with the
     columns of ``docs``.  The rows are filtered in place by their source's threshold."""
-    plan = written(mix(docs, id_col, text_col, source_col).groupBy(F.col("source").alias("_mix_source"))
-                   .agg(F.max("threshold").alias("_mix_threshold"), F.max("whole").alias("_mix_whole")), "mix-thresholds")
-    copies = F.col("_mix_whole") + (hash60(F.col(id_col)) <= F.col("_mix_threshold")).cast("long")
-    return (docs.join(plan, F.col(source_col).cast("string").eqNullSafe(F.col("_mix_source")))
-            .withColumn("_mix_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies))))
+    source, threshold, whole, copy = fresh(docs, "mix_source", "mix_threshold", "mix_whole", "mix_copy")
+    plan = written(mix(docs, id_col, text_col, source_col).groupBy(F.col("source").alias(source))
+                   .agg(F.max("threshold").alias(threshold), F.max("whole").alias(whole)), "mix-thresholds")
+    copies = F.col(whole) + (hash60(F.col(id_col)) <= F.col(threshold)).cast("long")
+    return (docs.join(plan, F.col(source_col).cast("string").eqNullSafe(F.col(source)))
+            .withColumn(copy, F.explode(F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

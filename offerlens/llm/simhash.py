@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .bpe import texts_of
 from .components import components
-from .shared import written
+from .shared import fresh, written
 
 SHINGLE = 3                   # words
 RADIUS = 3                    # differing bits
@@ -180,6 +180,7 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, the one with the least id, with the columns of
     ``docs``; documents without an id stay."""
+    own, = fresh(docs, "gone")
     gone = written(components_of(docs, id_col, text_col).where("doc_id <> component_id")
-                   .select(F.col("doc_id").alias("_gone")).distinct(), "simhash-gone")
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+                   .select(F.col("doc_id").alias(own)).distinct(), "simhash-gone")
+    return docs.join(gone, F.col(id_col) == F.col(own), "left_anti")

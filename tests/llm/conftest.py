@@ -5,7 +5,8 @@ SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tex
                        T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                        T.StructField("n_chars", T.LongType())])
 # Columns whose names the operators might use themselves.
-CLASHING = ("h", "fp", "node", "size", "line", "count", "part", "threshold")
+CLASHING = ("h", "fp", "node", "size", "line", "count", "part", "threshold", "filter_word", "filter_bits", "maybe", "sha", "row",
+            "gone", "_gone", "gone_doc", "_gone_doc", "mix_source", "_mix_source", "mix_copy", "_dedup_h")
 
 
 @pytest.fixture(scope="session")

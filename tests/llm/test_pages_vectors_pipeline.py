@@ -122,6 +122,15 @@ def test_vector_edges(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_vectors_of_one_id(spark):
+    """Rows that share an id are vectors of their own, with their own links."""
+    a, near, far, by_far = [1.0, 0.0, 0.0], [1.0, 0.01, 0.0], [0.0, 0.0, 1.0], [0.0, 0.01, 1.0]
+    df = spark.createDataFrame([(1, a, "x"), (1, near, "x"), (1, far, "x"), (7, by_far, "x"), (9, [0.0, 1.0, 0.0], "x")],
+                               "vec_id long, embedding array<double>, label string")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(df).collect())
+    assert got == [(1, 1, 1, True)] * 3 + [(7, 1, 1, False), (9, 0, 9, True)]
+
+
 def test_vector_recall(spark):
     rng = np.random.default_rng(8)
     base = rng.normal(size=(150, 48))
