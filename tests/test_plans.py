@@ -71,3 +71,13 @@ def test_sellers_are_not_placed_by_few_keys(spark, sf, limit):
                     assert "BroadcastHashJoin" in _plan(df), name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_shared_frames_are_built_when_they_are_read(spark, sf):
+    """A query of another grouping builds what it reads, in the run that shares it, and no bundles."""
+    c = context(spark, sf, fresh=True)
+    c.by_profile.recent_peers
+    assert c.by_profile.__dict__["tagged_sales"] is c.e.__dict__["tagged_sales"]
+    for w in (c.e, c.by_profile):
+        assert not {"single_grid", "bundle_grid", "bundle_prices", "single_prices", "catalog"} & set(w.__dict__)
+    assert c.by_profile.single_products is c.e.single_products
