@@ -111,3 +111,14 @@ def test_forced_slots_come_from_the_parts(spark, sf):
     rows = c.e.forced.collect()
     assert rows and {r.brand for r in rows} <= brands and {r.forced_kind for r in rows} == {0, 1}
     assert {int(r.brand[6:]) % 6 for r in rows if r.forced_kind == 1} == {0}
+
+
+def test_tables_and_files_are_written_when_they_are_read(spark, sf):
+    """A parameter file or the geography needs no sales: the lines are not touched for them."""
+    c = context(spark, sf, fresh=True)
+    t = c.warehouse.tables
+    for name in ("parameter_offers", "parameter_forced_slots_estimation", "warehouse_geography"):
+        assert not QUERIES[name](c).isEmpty()
+    assert t.written == {"DWH_DGEOGRAFIACAMPANA"} and set(t.files._open) == {"offers", "forced_slots_estimation"}
+    assert QUERIES["parameter_profiles"](c).count() == c.e.profiles.count()
+    assert t.written == {"DWH_DGEOGRAFIACAMPANA", "DWH_DEBELISTA"} and "facts" not in c.t.__dict__
