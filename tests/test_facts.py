@@ -88,3 +88,33 @@ def test_refresh_replaces_its_cycles_alone(spark, sf, tmp_path):
     kept.facts.refresh(36020)
     for a, b in ((kept.sales(), whole.sales()), (kept.catalog(), whole.catalog()), (kept.facts.sold(), whole.facts.sold())):
         assert rows(a) == rows(b)
+
+
+def test_a_session_lays_out_the_cycles_it_asks_for(spark, sf, tmp_path):
+    """No file for other cycles; what is asked for piece by piece is what a whole store holds."""
+    whole, t = StarTables(spark, sf, f"{tmp_path}/facts"), StarTables(spark, sf)
+    t.expect(36004, 36010)
+    assert rows(t.sales(36006, 36007)) == rows(whole.sales(36006, 36007))
+
+    def cycles():
+        return {r.cycle for r in spark.read.parquet(f"{t.facts.folder}/prices").select("cycle").distinct().collect()}
+    assert cycles() and cycles() <= set(range(36004, 36011))
+    assert rows(t.facts.sold()) == rows(whole.facts.sold())
+    assert rows(t.catalog(36009, 36012)) == rows(whole.catalog(36009, 36012)) and max(cycles()) <= 36012
+    assert rows(t.catalog(36009)) == rows(whole.catalog(36009))
+    for a, b in ((t.sales(), whole.sales()), (t.catalog(), whole.catalog())):
+        assert rows(a) == rows(b)
+    t.facts.refresh(36010, 36010)
+    assert rows(t.sales()) == rows(whole.sales()) and rows(t.facts.sold()) == rows(whole.facts.sold())
+
+
+def test_lines_without_a_cycle_stay(spark, sf):
+    class Undated(StarTables):
+        def _lines(self, lo=None, hi=None):
+            df = super()._lines(lo, hi)
+            return df.withColumn("cycle", F.when(F.col("invoice") % 7 != 0, F.col("cycle")))
+
+    a, b = Undated(spark, sf), Undated(spark, sf)
+    b.sales(36004, 36027)
+    assert rows(a.sales()) == rows(b.sales()) and a.sales().where("cycle IS NULL").count() > 0
+    assert rows(a.catalog()) == rows(b.catalog()) and rows(a.facts.sold()) == rows(b.facts.sold())
