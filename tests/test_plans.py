@@ -5,6 +5,8 @@ import re
 import pytest
 
 from offerlens.plans.registry import context
+from offerlens.sources.session import tune
+from offerlens.sources.staging import cut
 
 
 def _plan(df) -> str:
@@ -81,3 +83,13 @@ def test_shared_frames_are_built_when_they_are_read(spark, sf):
     for w in (c.e, c.by_profile):
         assert not {"single_grid", "bundle_grid", "bundle_prices", "single_prices", "catalog"} & set(w.__dict__)
     assert c.by_profile.single_products is c.e.single_products
+
+
+def test_frames_of_sellers_are_not_broadcast_by_their_file_size(spark):
+    """A million sellers lie in a few MB of parquet and hold many times that in the driver."""
+    tune(spark)
+    sellers = cut(spark.range(1_000_000).selectExpr("id AS seller_id", "int(id % 126) AS enrol_cycle"), "sellers")
+    rows = cut(spark.range(2_000_000).selectExpr("id % 1000003 AS seller_id", "id AS invoice"), "rows")
+    assert "BroadcastHashJoin" not in _plan(rows.join(sellers, "seller_id"))
+    short = cut(sellers.where("seller_id < 1000"), "short")
+    assert "BroadcastHashJoin" in _plan(rows.join(short, "seller_id"))
