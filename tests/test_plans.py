@@ -3,10 +3,15 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from offerlens.plans.registry import context
+from offerlens.functions.cycles import cycle_text
+from offerlens.functions.frames import seller_offer_grid
+from offerlens.operators.ranking import candidates, ranked
+from offerlens.operators.rfm import KEYS, _own_grid
+from offerlens.plans.registry import ESTABLISHED_RUN, context
 from offerlens.sources.session import tune
-from offerlens.sources.staging import cut
+from offerlens.sources.staging import cut, placed
 
 
 def _plan(df) -> str:
@@ -93,3 +98,29 @@ def test_frames_of_sellers_are_not_broadcast_by_their_file_size(spark):
     assert "BroadcastHashJoin" not in _plan(rows.join(sellers, "seller_id"))
     short = cut(sellers.where("seller_id < 1000"), "short")
     assert "BroadcastHashJoin" in _plan(rows.join(short, "seller_id"))
+
+
+def test_rows_of_sellers_and_offers_stay_where_they_are(spark):
+    """The grid is unfolded where its sellers lie, written so, and later reduced and ranked there."""
+    tune(spark)
+    base = spark.range(300).selectExpr("id AS seller_id", "int(id % 3) AS region_id")
+    offers = spark.range(40).selectExpr("'I-' || id AS offer_id", "'P-' || id AS product_id")
+    own = cut(spark.range(600).selectExpr("id % 300 AS seller_id", "'I-' || int(id / 300) AS offer_id",
+                                          "'P-' || int(id / 300) AS product_id", "id AS net"), "own")
+    grid = _own_grid(base, offers, own, 5)
+    assert not re.search(r"hashpartitioning\(seller_id#\d+L, offer_id", _plan(grid))
+    plain = seller_offer_grid(base, offers).join(own, KEYS, "left")
+    assert sorted(map(repr, grid.select(plain.columns).collect())) == sorted(map(repr, plain.collect()))
+    stored = placed(grid, "grid", 5)
+    best = ranked(candidates(_as_probabilities(stored), ESTABLISHED_RUN, parts=5))
+    sums = stored.groupBy("seller_id", "offer_id").agg(F.sum("net").alias("net"))
+    for df in (best, sums, stored.withColumn("twice", F.col("net") * 2).repartition(5, "seller_id")):
+        assert "Exchange" not in _plan(df)
+
+
+def _as_probabilities(rows):
+    run = ESTABLISHED_RUN
+    return rows.selectExpr("*", "double(net) AS probability", "1 AS flag_top", f"'{run.personalisation}' AS personalisation",
+                           f"'{run.country}' AS country", f"'{cycle_text(run.process_cycle)}' AS process_cycle",
+                           f"'{cycle_text(run.target_cycle)}' AS target_cycle", f"'{run.kind}' AS kind",
+                           f"{run.engine} AS engine", f"'{run.profile}' AS profile")
