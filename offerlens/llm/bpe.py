@@ -3,6 +3,8 @@
 A pair of bytes that stands inside no vocabulary token can never be merged over, so a
 cut between the two is certain.  Texts are cut there, the fragments are encoded each
 on its own (and remembered, as most occur again and again), and their ids concatenated.
+Short fragments are remembered in a table of fixed size, in which a whole batch of them
+is looked up at once; where two fall on one row, the later one stays.
 
 Cuts also have to leave the pre-tokenizer's view of both sides as it is.  It looks
 ahead only after white space and looks back nowhere, so a cut is taken only after an
@@ -34,7 +36,10 @@ CONTRACTIONS = (b"re", b"ve", b"ll")
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"   # fixed value
 
-REMEMBERED = 200_000          # fragments per Python worker, twice; then the older half goes
+TABLE_BITS = 20               # of the number of rows of the table of short fragments, one per Python worker
+SHORT = 15                    # bytes of a short fragment
+FEW = 8                       # ids of a short fragment
+REMEMBERED = 50_000           # other fragments per Python worker, twice; then the older half goes
 LONGEST_REMEMBERED = 48       # bytes
 STRETCH = 1000                # texts that a worker encodes at a time
 TOGETHER = 1 << 18            # bytes of text that are cut and looked up at a time
@@ -98,6 +103,51 @@ def _joined(fragments: list[bytes], exact, quick, between: int) -> list[bytes]:
     return [known[f] if f in known else next(pieces) for f in fragments]
 
 
+class Table:
+    """Ids of fragments of at most ``SHORT`` bytes and ``FEW`` ids.  A key is the fragment's
+    bytes with zeros behind and its length as the last byte, so equal keys are equal fragments.
+    No key of a longer fragment is ever there.  A row of 64 bytes holds the key, the number
+    of ids and the ids."""
+
+    def __init__(self):
+        self.rows = np.zeros((1 << TABLE_BITS, 8), "<u8")
+        length = np.arange(SHORT + 2)
+        self.inside = np.where(np.arange(16) < length[:, None], 255, 0).astype(np.uint8).view("<u8")
+        self.lengths = length.astype(np.uint64) << np.uint64(56)
+
+    def keys_of(self, a: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and row numbers of the fragments of ``sizes`` bytes that start at ``at``;
+        ``a`` goes on for 16 bytes after the start of the last of them."""
+        sizes = np.minimum(sizes, SHORT + 1)
+        keys = np.lib.stride_tricks.sliding_window_view(a, 16)[at].view("<u8")
+        keys &= self.inside[sizes]
+        keys[:, 1] |= self.lengths[sizes]
+        h = keys[:, 0] * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+        h = (h + keys[:, 1]) * np.uint64(0xC2B2AE3D27D4EB4F)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        return keys, (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+    def get(self, keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which keys are there, how many ids each has (none if it is not there), and the
+        ids of all that are there, one after the other."""
+        held = self.rows[rows]
+        there = (held[:, 0] == keys[:, 0]) & (held[:, 1] == keys[:, 1])
+        counts = np.where(there, held[:, 2], 0).astype(np.int64)
+        return there, counts, held.view("<u4")[:, -FEW:][np.arange(FEW) < counts[:, None]]
+
+    def put(self, keys: np.ndarray, rows: np.ndarray, packed: list[bytes]) -> None:
+        counts = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        few = np.flatnonzero(counts <= FEW)
+        rows, first = np.unique(rows[few], return_index=True)           # one key per row
+        few = few[first]
+        held = np.zeros((len(few), 8), "<u8")
+        held[:, :2], held[:, 2] = keys[few], counts[few]
+        held.view("<u4")[:, -FEW:][np.arange(FEW) < counts[few][:, None]] = np.frombuffer(b"".join([packed[k] for k in few.tolist()]), "<u4")
+        self.rows[rows] = held
+
+
 class Codec:
     """Decoding needs the tokens' bytes alone; what encodes is loaded with the first
     fragment, so that workers that only decode do not hold it."""
@@ -118,7 +168,7 @@ class Codec:
         self.added = {t.encode(): i for t, i in added.items()}
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.fragments = None
+        self.fragments = self.table = None
 
     def _file(self) -> dict:
         with open(self.path, encoding="utf-8") as f:
@@ -149,36 +199,54 @@ class Codec:
                                   library.encode_batch_fast([f.decode() for f in fragments], add_special_tokens=False)]
 
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of fragments that are not in ``known``.  Once that is full it becomes ``older``,
-        from which fragments that occur again come back."""
-        found = {f: i for f in new if (i := self.older.get(f)) is not None}
+        """Ids of fragments that the table does not hold; those it has no room for are kept
+        in ``known``.  Once that is full it becomes ``older``, from which fragments that occur
+        again come back."""
+        found = {f: i for f in new if (i := self.known.get(f)) is not None} if self.known else {}
+        back = {f: i for f in new if f not in found and (i := self.older.get(f)) is not None} if self.older else {}
+        found.update(back)
         if len(found) < len(new):
             if self.fragments is None:
                 self.fragments = self._encoder()
-            unseen = [f for f in new if f not in found]
-            found.update(zip(unseen, self.fragments(unseen)))
-        if len(self.known) + len(found) > REMEMBERED:
+            unseen = [f for f in new if f not in found] if found else new
+            fresh = self.fragments(unseen)
+            found.update(zip(unseen, fresh))
+            back.update((f, i) for f, i in zip(unseen, fresh) if len(f) <= LONGEST_REMEMBERED and (len(f) > SHORT or len(i) > 4 * FEW))
+        if len(self.known) + len(back) > REMEMBERED:
             self.known, self.older = {}, self.known
-        self.known.update((f, i) for f, i in found.items() if len(f) <= LONGEST_REMEMBERED)
+        self.known.update(back)
         return found
 
     def _plain(self, texts: list[bytes]) -> list[bytes]:
         """Ids of texts without special tokens, cut and looked up together."""
-        joined, ends = b"".join(texts), np.cumsum([0, *map(len, texts)])
-        a, mark = np.frombuffer(joined, np.uint8), np.zeros(len(joined) + 1, bool)
-        if len(a) > 1:
-            mark[1:-1] = self.cuts[(a[:-1].astype(np.uint16) << 8) | a[1:]]
+        if self.table is None:
+            self.table = Table()
+        joined, ends, table = b"".join([*texts, bytes(16)]), np.cumsum([0, *map(len, texts)]), self.table
+        a, n = np.frombuffer(joined, np.uint8), int(ends[-1])
+        mark = np.zeros(n + 1, bool)
+        if n > 1:
+            mark[1:-1] = self.cuts[(a[:n - 1].astype(np.uint16) << 8) | a[1:n]]
         mark[ends] = True
         at = np.flatnonzero(mark)
-        places, at = np.searchsorted(at, ends).tolist(), at.tolist()
-        fragments = [joined[i:j] for i, j in zip(at, at[1:])]
-        ids = list(map(self.known.get, fragments))
-        missing = [k for k, x in enumerate(ids) if x is None]
-        if missing:
-            found = self._learn(list({fragments[k] for k in missing}))
-            for k in missing:
-                ids[k] = found[fragments[k]]
-        return [b"".join(ids[i:j]) for i, j in zip(places, places[1:])]
+        places, at, sizes = np.searchsorted(at, ends), at[:-1], np.diff(at)
+        keys, rows = table.keys_of(a, at, sizes)
+        there, counts, ids = table.get(keys, rows)
+        if not there.all():
+            other = np.flatnonzero(~there)
+            fragments = [joined[i:j] for i, j in zip(at[other].tolist(), (at[other] + sizes[other]).tolist())]
+            where = dict(zip(fragments, other.tolist()))
+            found = self._learn(list(where))
+            short = [f for f in where if len(f) <= SHORT]
+            if short:
+                which = np.array([where[f] for f in short])
+                table.put(keys[which], rows[which], [found[f] for f in short])
+            packed = list(map(found.__getitem__, fragments))
+            counts[other] = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+            late, quick = np.repeat(~there, counts), ids
+            ids = np.empty(len(late), "<u4")
+            ids[~late], ids[late] = quick, np.frombuffer(b"".join(packed), "<u4")
+        raw, stops = ids.tobytes(), 4 * np.concatenate([[0], np.cumsum(counts)])[places]
+        return [raw[i:j] for i, j in zip(stops.tolist(), stops[1:].tolist())]
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""

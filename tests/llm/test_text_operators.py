@@ -191,6 +191,28 @@ def test_forgetting_changes_nothing(library, monkeypatch):
         assert np.frombuffer(c.encode(t.encode()), "<u4").tolist() == ids_of(library, t)
 
 
+def test_a_full_table_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(bpe, "TABLE_BITS", 4)
+    c = bpe.Codec(vocabulary())
+    texts = tricky()[:1000] + ["a" * k + "." for k in range(40)] + [" \0", "\0" * 9 + "a.", "a\0.", "a.\0\0"]
+    for _ in range(2):
+        for t, ids in zip(texts, c.encode_all([t.encode() for t in texts])):
+            assert np.frombuffer(ids, "<u4").tolist() == ids_of(library, t), repr(t)
+
+
+def test_many_short_fragments_stay_known():
+    """Words of one text that are met again in the next; 400,000 were remembered at most."""
+    c, learned, real = bpe.Codec(vocabulary()), [], bpe.Codec._learn
+    c._learn = lambda new: learned.append(len(new)) or real(c, new)
+    parts = [a + b for a in "bcdfghlmnprstvw" for b in "aeiou"]
+    words = ["".join(parts[k // 75 ** j % 75] for j in range(4)) for k in range(0, 75 ** 4, 63)][:500_000]
+    texts = [" ".join(words[at:at + 1000]).encode() for at in range(0, len(words), 1000)]
+    first = list(bpe.encoded_texts(texts, c))
+    n = sum(learned)
+    assert n > 400_000 and list(bpe.encoded_texts(texts, c)) == first
+    assert sum(learned) - n < n / 2
+
+
 def test_round_trip(documents, library, edges):
     texts = edges + tricky()[:50]
     df = documents(texts, clash=True).withColumn("ids", bpe.encoded(F.col("text"), vocabulary())).withColumn("back", bpe.decoded(F.col("ids"), vocabulary()))
