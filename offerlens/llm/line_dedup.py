@@ -13,8 +13,9 @@ differ in at least as many words as their bitmaps do in bits.  Pairs that are le
 verified on the words themselves.
 
 A line goes if an earlier line of its class, or of a class it matches, comes before it.
-So classes first meet the heads of a few of their words: the first class that has the
-word among its own few.  That costs a pair per word, however many lines are alike.
+So classes first meet the heads of a few of their words, if many classes have such a word
+among their own few: these are dealt into ``HEADS`` shares, and a first class of each is
+a head.  That costs ``HEADS`` pairs per word at most, however many lines are alike.
 Whatever those pairs remove needs no more partners; only for the classes that are left
 are all earlier partners looked up, the earliest of these verified first.
 
@@ -37,11 +38,13 @@ from .shared import SPACE, bloom_filter, filter_words, fresh, possibly_in, writt
 SIMILAR = (4, 5)              # 4/5, as whole numbers so that no bound is rounded
 SLOTS = 1 << 18               # of word counts: the largest thing that is sent to every task
 KEYS = 3                      # words by which a class meets heads
+HEADS = 4                     # of a word: its classes are dealt into as many shares
+CROWDED = 8                   # a share of more classes than that has a head
 LONG = "long"
 
 
 def _slot(h: Column) -> Column:
-    return F.pmod(h, F.lit(SLOTS))
+    return h.bitwiseAND(F.lit(SLOTS - 1).cast(LONG))
 
 
 def words_of(line: Column) -> Column:
@@ -49,24 +52,24 @@ def words_of(line: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> DataFrame:
-    """One row with an array of ``SLOTS`` small numbers: the logarithm of the count of
-    the words in each slot."""
+    """One row with an array of ``SLOTS`` small numbers, in the top bits: the logarithm of
+    the count of the words in each slot."""
     words = docs.select(F.explode(F.split(F.lower("text"), SPACE)).alias("w"))
     counts = words.groupBy(_slot(F.xxhash64("w")).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     every = docs.sparkSession.range(SLOTS).select(F.col("id").alias("slot"), F.lit(0).cast(LONG).alias("n"))
     level = F.least(F.lit(31), F.floor(F.log2(F.sum("n") + 1) * 1.2)).cast(LONG)
     slots = counts.unionByName(every).groupBy("slot").agg(level.alias("level"))
     packed = F.sort_array(F.collect_list(F.col("slot") * 32 + F.col("level")))
-    return slots.agg(F.transform(packed, lambda x: x.bitwiseAND(F.lit(31).cast(LONG))).alias("levels"))
+    return slots.agg(F.transform(packed, lambda x: F.shiftleft(x.bitwiseAND(F.lit(31).cast(LONG)), 58)).alias("levels"))
 
 
 def word_ids(line: Column, levels: Column) -> Column:
-    """The distinct words of a line as ids, rarest first."""
-    def one(w: Column) -> Column:
-        h = F.xxhash64(w)
-        return F.shiftleft(F.get(levels, _slot(h).cast("int")), 58).bitwiseOR(F.shiftrightunsigned(h, 6))
+    """The distinct words of a line as ids, rarest first; ``levels`` stand in the top bits."""
+    def one(h: Column) -> Column:
+        # Never null, so that the ids are sorted as plain numbers.
+        return F.coalesce(F.get(levels, _slot(h).cast("int")), F.lit(0).cast(LONG)).bitwiseOR(F.shiftrightunsigned(h, 6))
 
-    return F.sort_array(F.array_distinct(F.transform(words_of(line), one)))
+    return F.sort_array(F.transform(F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))), one))
 
 
 def source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -86,14 +89,15 @@ def _overlap(m: Column, n: Column) -> Column:
 def classified(src: DataFrame, levels: Column) -> DataFrame:
     """Every line with its class, its number of words and its prefix; a document
     without text has one row without a line."""
-    ids = word_ids(F.col("line"), F.col("levels"))
     length = F.col("size") - _at_least(F.col("size"), SIMILAR[0], SIMILAR[1]) + 2
     parity = F.aggregate("ids", F.lit(0).cast(LONG), lambda a, x: a.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast(LONG), x.bitwiseAND(F.lit(63).cast(LONG)).cast("int"))))
     # For the join, 32 bits of a word are enough: a clash is one more pair to verify.
     short = F.transform(F.slice("ids", F.lit(1), length), lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
     return (src.select("doc_id", "tie", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
-            .withColumn("levels", levels).select("doc_id", "tie", "line_no", ids.alias("ids")).withColumns({"size": F.size("ids"), "parity": parity})
+            # Levels and ids become one projection: rows never hold the levels.
+            .withColumn("levels", levels).select("doc_id", "tie", "line_no", word_ids(F.col("line"), F.col("levels")).alias("ids"))
+            .withColumns({"size": F.size("ids"), "parity": parity})
             .select("doc_id", "tie", "line_no", F.xxhash64("ids").alias("cls"), "parity", "size", short.alias("prefix")))
 
 
@@ -111,26 +115,32 @@ def _may_match(m: Column, n: Column, left: Column, x: Column, y: Column) -> Colu
 
 
 def head_pairs(classes: DataFrame) -> DataFrame:
-    """(a, b, overlap): classes that may match the head of one of their ``KEYS`` words,
+    """(a, b, overlap): classes that may match a head of one of their ``KEYS`` words,
     from (cls, first, parity, size, prefix).  The words are those of the prefix with the
     least hashes, which near copies have in common more often than their rarest ones."""
-    keyed = classes.select("cls", "first.doc_id", "parity", "size", F.explode(F.slice(F.sort_array("prefix"), 1, KEYS)).alias("word"))
-    heads = (keyed.groupBy(F.col("word").alias("head_word"))
-             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "cls", "size", "parity")).alias("head"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("head_word", "head.cls", "head.size", "head.parity").toDF("head_word", "b", "head_size", "head_parity"))
+    doc = F.coalesce("first.doc_id", F.lit((1 << 63) - 1).cast(LONG)).alias("doc")
+    keyed = classes.select("cls", doc, F.pmod("cls", F.lit(HEADS)).alias("share"), "parity", "size",
+                           F.explode(F.slice(F.sort_array("prefix"), 1, KEYS)).alias("word"))
+    # Numbers alone, which are summed up without sorting; then the classes of those documents.
+    least = (keyed.groupBy(F.col("word").alias("w"), F.col("share").alias("s")).agg(F.min("doc").alias("d"), F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") > CROWDED).drop("n"))
+    heads = written(keyed.join(least, (F.col("word") == F.col("w")) & (F.col("share") == F.col("s")) & (F.col("doc") == F.col("d")))
+                    .groupBy("word", "share").agg(F.min(F.struct("cls", "size", "parity")).alias("head"))
+                    .select("word", "head.cls", "head.size", "head.parity").toDF("head_word", "b", "head_size", "head_parity"), "line-head")
     m, n = F.col("size"), F.col("head_size")
-    return (keyed.drop("doc_id").join(heads, F.col("word") == F.col("head_word"))
+    return (keyed.join(heads, F.col("word") == F.col("head_word"))
             .where((F.col("cls") != F.col("b")) & _may_match(m, n, F.least(m, n), F.col("parity"), F.col("head_parity")))
             .select(F.col("cls").alias("a"), "b", _overlap(m, n).alias("overlap")).distinct())
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """(a, b, overlap): pairs of classes that may match, from (cls, parity, size, prefix,
-    settled), but for those of two settled classes."""
+    """(a, b, overlap): pairs of classes that may match, from (cls, first, parity, size,
+    prefix, settled), but for those whose later document has the settled class."""
     # Place and length in one long, below zero for a settled class.
     spot = F.when(F.col("settled"), -1).otherwise(1) * (F.col("at").cast(LONG) * (1 << 32) + F.col("size"))
-    items = (classes.select("cls", "parity", "size", "settled", F.posexplode("prefix").alias("at", "word"))
-             .select("cls", "parity", spot.alias("spot"), "word"))
+    doc = F.coalesce("first.doc_id", F.lit((1 << 63) - 1).cast(LONG)).alias("doc")
+    items = (classes.select("cls", doc, "parity", "size", "settled", F.posexplode("prefix").alias("at", "word"))
+             .select("cls", "doc", "parity", spot.alias("spot"), "word"))
     x, y = items.alias("x"), items.alias("y")
     m, n = [F.abs(s).bitwiseAND(F.lit((1 << 32) - 1)).cast("int") for s in (F.col("x.spot"), F.col("y.spot"))]
     p, q = [F.shiftright(F.abs(s), 32).cast("int") for s in (F.col("x.spot"), F.col("y.spot"))]
@@ -138,7 +148,7 @@ def candidates(classes: DataFrame) -> DataFrame:
     # They hold for the first two words that a matching pair shares.
     met = x.join(y, (F.col("x.word") == F.col("y.word"))
                  & ((m < n) | ((m == n) & (F.col("x.cls") < F.col("y.cls"))))
-                 & (F.greatest("x.spot", "y.spot") > 0)
+                 & (((F.col("x.spot") > 0) & (F.col("x.doc") >= F.col("y.doc"))) | ((F.col("y.spot") > 0) & (F.col("y.doc") >= F.col("x.doc"))))
                  & _may_match(m, n, F.least(m - p, n - q) + 1, F.col("x.parity"), F.col("y.parity")))
     return (met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), _overlap(m, n).alias("overlap"), F.least(m - p, n - q).alias("left"))
             .groupBy("a", "b", "overlap").agg(F.count(F.lit(1)).alias("shared"), F.max("left").alias("left"))
@@ -146,15 +156,18 @@ def candidates(classes: DataFrame) -> DataFrame:
 
 
 def turned(pairs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The pairs as (late, early, first, overlap), ``first`` being the place of the
-    early class; and (cls, first) of their classes."""
+    """The pairs as (late, early, first, overlap), ``first`` being the place of the early
+    class, without those of which the late one is settled; and (cls, first) of their classes."""
     wanted = written(pairs.select(F.col("a").alias("w")).unionByName(pairs.select(F.col("b").alias("w"))).distinct()
-                     .join(classes, F.col("w") == F.col("cls")).select("cls", "first"), "line-wanted")
-    one, two = wanted.select(F.col("cls").alias("a"), F.col("first").alias("fa")), wanted.select(F.col("cls").alias("b"), F.col("first").alias("fb"))
+                     .join(classes, F.col("w") == F.col("cls")).select("cls", "first", "settled"), "line-wanted")
+    one, two = [wanted.select(F.col("cls").alias(k), F.col("first").alias(f"f{k}"), F.col("settled").alias(f"s{k}")) for k in ("a", "b")]
     swap = F.col("fb") < F.col("fa")
-    return written(pairs.join(one, "a").join(two, "b")
-                   .select(F.when(swap, F.col("a")).otherwise(F.col("b")).alias("late"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("early"),
-                           F.least("fa", "fb").alias("first"), "overlap"), "line-turned"), wanted
+
+    def late(a: str, b: str) -> Column:
+        return F.when(swap, F.col(a)).otherwise(F.col(b))
+
+    return written(pairs.join(one, "a").join(two, "b").where(~late("sa", "sb"))
+                   .select(late("a", "b").alias("late"), late("b", "a").alias("early"), F.least("fa", "fb").alias("first"), "overlap"), "line-turned"), wanted
 
 
 def texts_at(src: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -184,13 +197,12 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = written(classified(src, levels), "lines")
     classes = written(rows.groupBy("cls").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"), F.first("parity").alias("parity"), F.first("size").alias("size"),
                                               F.first("prefix").alias("prefix")).where("size > 0"), "line-classes")
-    # Classes that match the head of one of their words.
-    pairs, wanted = turned(written(head_pairs(classes), "line-heads"), classes)
+    # Classes that match a head of one of their words.
+    pairs, wanted = turned(written(head_pairs(classes), "line-heads"), classes.withColumn("settled", F.lit(False)))
     soon = written(verified(pairs, texts_at(src, wanted)), "line-soon")
     # All earlier partners of the others.
     open_ = classes.join(soon, F.col("cls") == F.col("late"), "left").withColumn("settled", F.col("late").isNotNull())
-    pairs, wanted = turned(written(candidates(open_), "line-pairs"), classes)
-    pairs = pairs.join(soon, "late", "left_anti")
+    pairs, wanted = turned(written(candidates(open_), "line-pairs"), open_)
     texts = written(texts_at(src, wanted), "line-texts")
     earliest = pairs.groupBy("late").agg(F.min(F.struct("first", "early", "overlap")).alias("e")).select("late", "e.early", "e.overlap")
     done = written(verified(earliest, texts), "line-done")

@@ -398,6 +398,31 @@ def test_line_dedup_of_a_large_group(documents, monkeypatch):
     assert pairs["line-heads"] + pairs["line-pairs"] < 150 * 149 / 8
 
 
+def test_line_dedup_pairs_no_settled_line(documents, monkeypatch):
+    """What a head has removed is an earlier partner at most, and each word has several heads."""
+    rng = random.Random(8)
+    base = [f"b{k}" for k in range(40)]
+    texts = []
+    for k in range(240):
+        out = set(rng.sample(range(40), rng.randrange(7)))
+        texts.append(" ".join(f"n{k}x{j}" if j in out else w for j, w in enumerate(base)))
+    texts += variants()
+    frames, real = {}, line_dedup.written
+
+    def kept(df, tag):
+        frames.setdefault(tag, []).append(real(df, tag))
+        return frames[tag][-1]
+
+    monkeypatch.setattr(line_dedup, "written", kept)
+    rows = documents([(None if k == 200 else k, t, "en", "s") for k, t in enumerate(texts)])
+    got = {r.doc_id: r.removed for r in line_dedup.removed_lines(rows).collect()}
+    want = brute_lines(texts[:200] + texts[201:] + texts[200:201])
+    ids = [*range(200), *range(201, len(texts)), None]
+    assert got == {ids[k]: v for k, v in want.items()}
+    soon = {r.late for r in frames["line-soon"][0].collect()}
+    assert soon and not soon & {r.late for r in frames["line-turned"][1].collect()}
+
+
 def test_line_dedup_edges(documents):
     assert line_dedup.removed_lines(documents(["x"]).limit(0)).count() == 0
     rows = line_dedup.removed_lines(documents([(None, "a b", "en", "s"), (7, "a b", "en", "s"), (7, "c", "en", "s"), (8, "c", "en", "s")])).collect()
