@@ -30,6 +30,8 @@ their text is the same; else their lines are told apart by a hash of the text.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,7 @@ SLOTS = 1 << 18               # of word counts: the largest thing that is sent t
 KEYS = 3                      # words by which a class meets heads
 HEADS = 4                     # of a word: its classes are dealt into as many shares
 CROWDED = 8                   # a share of more classes than that has a head
+CONTROLS = ("\t", "\v", "\f", "\r")   # white space within a line, besides the space
 LONG = "long"
 
 
@@ -47,14 +50,25 @@ def _slot(h: Column) -> Column:
     return h.bitwiseAND(F.lit(SLOTS - 1).cast(LONG))
 
 
+def _holds(c: Column, parts: tuple[str, ...]) -> Column:
+    return reduce(Column.__or__, [F.contains(c, F.lit(part)) for part in parts])
+
+
 def words_of(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), SPACE), "")
+    """The words of a line in lower case.  A regular expression is needed only where there
+    is other white space than single spaces between words."""
+    low = F.lower(line)
+    other = (line == "") | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" ")) | _holds(line, ("  ", *CONTROLS))
+    return F.when(other, F.array_remove(F.split(low, SPACE), "")).otherwise(F.split(low, " "))
 
 
 def rarity(docs: DataFrame) -> DataFrame:
     """One row with an array of ``SLOTS`` small numbers, in the top bits: the logarithm of
     the count of the words in each slot."""
-    words = docs.select(F.explode(F.split(F.lower("text"), SPACE)).alias("w"))
+    low = F.lower("text")
+    split = (F.when(_holds(F.col("text"), CONTROLS), F.split(low, SPACE))
+             .otherwise(F.split(F.replace(low, F.lit("\n"), F.lit(" ")), " ")))
+    words = docs.select(F.explode(split).alias("w"))
     counts = words.groupBy(_slot(F.xxhash64("w")).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     every = docs.sparkSession.range(SLOTS).select(F.col("id").alias("slot"), F.lit(0).cast(LONG).alias("n"))
     level = F.least(F.lit(31), F.floor(F.log2(F.sum("n") + 1) * 1.2)).cast(LONG)
@@ -109,9 +123,10 @@ def _place() -> Column:
 def _may_match(m: Column, n: Column, left: Column, x: Column, y: Column) -> Column:
     """Filters of sets with ``m`` and ``n`` words, at most ``left`` of them shared, and
     the parities ``x`` and ``y``."""
-    need = _overlap(m, n)
-    return ((F.least(m, n) * SIMILAR[1] >= F.greatest(m, n) * SIMILAR[0]) & (left >= need)
-            & (F.bit_count(x.bitwiseXOR(y)) <= m + n - 2 * need))
+    a, b = SIMILAR
+    # In whole numbers.  Parities differ in as many bits as words do, or an even number less.
+    return ((m * b >= n * a) & (n * b >= m * a) & (left * (a + b) >= (m + n) * a)
+            & (F.bit_count(x.bitwiseXOR(y)) * (a + b) <= (m + n) * (b - a)))
 
 
 def head_pairs(classes: DataFrame) -> DataFrame:
@@ -121,12 +136,10 @@ def head_pairs(classes: DataFrame) -> DataFrame:
     doc = F.coalesce("first.doc_id", F.lit((1 << 63) - 1).cast(LONG)).alias("doc")
     keyed = classes.select("cls", doc, F.pmod("cls", F.lit(HEADS)).alias("share"), "parity", "size",
                            F.explode(F.slice(F.sort_array("prefix"), 1, KEYS)).alias("word"))
-    # Numbers alone, which are summed up without sorting; then the classes of those documents.
-    least = (keyed.groupBy(F.col("word").alias("w"), F.col("share").alias("s")).agg(F.min("doc").alias("d"), F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") > CROWDED).drop("n"))
-    heads = written(keyed.join(least, (F.col("word") == F.col("w")) & (F.col("share") == F.col("s")) & (F.col("doc") == F.col("d")))
-                    .groupBy("word", "share").agg(F.min(F.struct("cls", "size", "parity")).alias("head"))
-                    .select("word", "head.cls", "head.size", "head.parity").toDF("head_word", "b", "head_size", "head_parity"), "line-head")
+    # Numbers alone, which are summed up without sorting; all three are those of one class.
+    head = [F.min_by(c, "doc").alias(name) for c, name in (("cls", "b"), ("size", "head_size"), ("parity", "head_parity"))]
+    heads = written(keyed.groupBy(F.col("word").alias("head_word"), "share").agg(*head, F.count(F.lit(1)).alias("n"))
+                    .where(F.col("n") > CROWDED).drop("share", "n"), "line-head")
     m, n = F.col("size"), F.col("head_size")
     return (keyed.join(heads, F.col("word") == F.col("head_word"))
             .where((F.col("cls") != F.col("b")) & _may_match(m, n, F.least(m, n), F.col("parity"), F.col("head_parity")))
@@ -136,20 +149,18 @@ def head_pairs(classes: DataFrame) -> DataFrame:
 def candidates(classes: DataFrame) -> DataFrame:
     """(a, b, overlap): pairs of classes that may match, from (cls, first, parity, size,
     prefix, settled), but for those whose later document has the settled class."""
-    # Place and length in one long, below zero for a settled class.
-    spot = F.when(F.col("settled"), -1).otherwise(1) * (F.col("at").cast(LONG) * (1 << 32) + F.col("size"))
     doc = F.coalesce("first.doc_id", F.lit((1 << 63) - 1).cast(LONG)).alias("doc")
-    items = (classes.select("cls", doc, "parity", "size", "settled", F.posexplode("prefix").alias("at", "word"))
-             .select("cls", "doc", "parity", spot.alias("spot"), "word"))
+    # Never null, so that the join, which looks at many more pairs than it keeps, need not ask.
+    number = [F.coalesce(c, F.lit(0).cast(kind)).alias(c) for c, kind in (("cls", LONG), ("parity", LONG), ("size", "int"))]
+    items = classes.select(*number, doc, F.coalesce("settled", F.lit(False)).alias("settled"), F.posexplode("prefix").alias("at", "word"))
     x, y = items.alias("x"), items.alias("y")
-    m, n = [F.abs(s).bitwiseAND(F.lit((1 << 32) - 1)).cast("int") for s in (F.col("x.spot"), F.col("y.spot"))]
-    p, q = [F.shiftright(F.abs(s), 32).cast("int") for s in (F.col("x.spot"), F.col("y.spot"))]
-    # Conditions on both sides at once: the two sides stay one exchange of the same rows.
-    # They hold for the first two words that a matching pair shares.
+    m, n, p, q = F.col("x.size"), F.col("y.size"), F.col("x.at"), F.col("y.at")
+    # Conditions on both sides at once, the most telling first: the two sides stay one exchange
+    # of the same rows.  They hold for the first two words that a matching pair shares.
     met = x.join(y, (F.col("x.word") == F.col("y.word"))
-                 & ((m < n) | ((m == n) & (F.col("x.cls") < F.col("y.cls"))))
-                 & (((F.col("x.spot") > 0) & (F.col("x.doc") >= F.col("y.doc"))) | ((F.col("y.spot") > 0) & (F.col("y.doc") >= F.col("x.doc"))))
-                 & _may_match(m, n, F.least(m - p, n - q) + 1, F.col("x.parity"), F.col("y.parity")))
+                 & (m <= n) & (m * SIMILAR[1] >= n * SIMILAR[0]) & ((m < n) | (F.col("x.cls") < F.col("y.cls")))
+                 & _may_match(m, n, F.least(m - p, n - q) + 1, F.col("x.parity"), F.col("y.parity"))
+                 & ((~F.col("x.settled") & (F.col("x.doc") >= F.col("y.doc"))) | (~F.col("y.settled") & (F.col("y.doc") >= F.col("x.doc")))))
     return (met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), _overlap(m, n).alias("overlap"), F.least(m - p, n - q).alias("left"))
             .groupBy("a", "b", "overlap").agg(F.count(F.lit(1)).alias("shared"), F.max("left").alias("left"))
             .where("shared >= 2 and left >= overlap").select("a", "b", "overlap"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -423,6 +424,26 @@ def test_line_dedup_pairs_no_settled_line(documents, monkeypatch):
     assert soon and not soon & {r.late for r in frames["line-turned"][1].collect()}
 
 
+def test_line_dedup_heads_need_no_join(documents, monkeypatch):
+    """A word's head comes out of the sum that counts its classes, whose rows are not sorted."""
+    plans, real = {}, line_dedup.written
+
+    def kept(df, tag):
+        plans.setdefault(tag, df._jdf.queryExecution().executedPlan().toString())
+        return real(df, tag)
+
+    monkeypatch.setattr(line_dedup, "written", kept)
+    texts = variants()
+    assert {r.doc_id: r.removed for r in line_dedup.removed_lines(documents(texts)).collect()} == brute_lines(texts)
+    assert "HashAggregate" in plans["line-head"] and "Join" not in plans["line-head"] and "SortAggregate" not in plans["line-head"]
+
+
+def test_line_dedup_white_space(documents):
+    lines = ["", " ", "A b", " a", "a ", "a  b", "a\tb", "a\x0bb", "a\x0cB c", "a\rb", "\t", "\u00a0 \u2003x", "\x1cy \x85"]
+    got = documents(lines).select("doc_id", line_dedup.words_of(F.col("text")).alias("w")).collect()
+    assert {r.doc_id: r.w for r in got} == {k: re.findall(r"[^\x20\x09-\x0D]+", t.lower()) for k, t in enumerate(lines)}
+
+
 def test_line_dedup_edges(documents):
     assert line_dedup.removed_lines(documents(["x"]).limit(0)).count() == 0
     rows = line_dedup.removed_lines(documents([(None, "a b", "en", "s"), (7, "a b", "en", "s"), (7, "c", "en", "s"), (8, "c", "en", "s")])).collect()
